@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citeweave.llm import exact_dedup, jaccard_join, licenses, mixing, secrets, token_counts
+from citeweave.llm import decontamination, exact_dedup, jaccard_join, licenses, mixing, quality, secrets, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_classifier": quality.op1_quality_classifier,
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
         "op3_mix_sources": mixing.op3_mix_sources,
         "op4_token_counts": token_counts.op4_token_counts,
         "op5_jaccard_join": jaccard_join.op5_jaccard_join,
+        "op6_decontamination": decontamination.op6_decontamination,
         "op8_license_scan": licenses.op8_license_scan,
         "op10_secret_scan": secrets.op10_secret_scan,
     }
