@@ -126,24 +126,30 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 3000, cut: float
 
 
 def score(docs: DataFrame, model: Ranking) -> DataFrame:
-    """``docs`` with a further column ``_score``, texts and all other columns as they are."""
+    """doc_id, score of each row of ``docs``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [model.score(features(raw, offsets)) for _, _, raw, offsets in wordhash.text_slices(batch)]
-            column = pa.array(np.concatenate(scores) if scores else np.zeros(0))
-            yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, "_score"])
+            for begin, end, raw, offsets in wordhash.text_slices(batch):
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(begin, end - begin), pa.array(model.score(features(raw, offsets)))], ["doc_id", "score"])
 
-    return docs.mapInArrow(run, docs.schema.add("_score", "double"))
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
 
 
-def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", "text")
-    model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+def accepted(docs: DataFrame, model: Ranking) -> DataFrame:
+    """The rows of ``docs`` with a score of ``model.cut`` or more, all columns as they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, end, raw, offsets in wordhash.text_slices(batch):
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(begin, end - begin), pa.array(model.score(features(raw, offsets)))], ["doc_id", "score"])
+            good = [model.score(features(raw, offsets)) >= model.cut for _, _, raw, offsets in wordhash.text_slices(batch)]
+            yield batch.filter(pa.array(np.concatenate(good) if good else np.zeros(0, bool)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
-    scored = docs.mapInArrow(run, "doc_id long, score double")
+    scored = score(docs, model)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= model.cut).cast("int").alias("predicted"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citeweave.llm import decontamination, exact_dedup, jaccard_join, licenses, mixing, quality, secrets, token_counts, toxicity
+from citeweave.llm import decontamination, exact_dedup, jaccard_join, licenses, lm_scoring, mixing, quality, secrets, token_counts, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_token_counts": token_counts.op4_token_counts,
         "op5_jaccard_join": jaccard_join.op5_jaccard_join,
         "op6_decontamination": decontamination.op6_decontamination,
+        "op7_lm_scoring": lm_scoring.op7_lm_scoring,
         "op8_license_scan": licenses.op8_license_scan,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_secret_scan": secrets.op10_secret_scan,
