@@ -41,9 +41,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def with_uid(docs: DataFrame) -> DataFrame:
-    """Adds ``uid``, a number of each row.  It holds only within one job, so save what carries it before use."""
-    return docs.withColumn("uid", F.monotonically_increasing_id())
+def with_uid(docs: DataFrame, uid: Column | None = None) -> DataFrame:
+    """Adds ``uid``, by default a number of each row, which holds only within one job: save what carries it before use."""
+    return docs.withColumn("uid", F.monotonically_increasing_id() if uid is None else uid)
+
+
+def row_hash() -> Column:
+    """A uid that another scan gives again: rows share it only if id and text are the same."""
+    return F.xxhash64(F.col("doc_id"), F.col("text"))
 
 
 def training_row(doc_id: Column, mod: int, held: int) -> Column:
@@ -66,9 +71,26 @@ def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total
     return spread.join(copies, [key, "_salt"], how).drop("_salt")
 
 
-def without_ids(docs: DataFrame, ids: DataFrame, column: str = "doc_id", broadcast_rows: int = 2_000_000) -> DataFrame:
-    """``docs`` whose id is not in ``ids``; the ids are broadcast up to ``broadcast_rows`` (16 MB), else both sides are shuffled."""
-    ids = ids.select(column).distinct()
-    if ids.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        ids = F.broadcast(ids)
-    return docs.join(ids, column, "left_anti")
+def is_small(df: DataFrame, rows: int = 1_000_000) -> bool:
+    """Whether ``df`` has up to ``rows`` rows, so that a few numbers of each can be broadcast (100 MB at most)."""
+    return df.limit(rows + 1).count() <= rows
+
+
+def by_row(docs: DataFrame, picked: DataFrame, how: str) -> DataFrame:
+    """``docs`` joined with ``picked`` (doc_id, uid = row_hash, more) by row; ``picked`` is broadcast while small, else both are shuffled."""
+    side = picked.withColumnsRenamed({"doc_id": "_id", "uid": "_uid"})
+    on = (row_hash() == F.col("_uid")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    joined = docs.join(F.broadcast(side) if is_small(picked) else side, on, how)
+    return joined.drop("_id", "_uid")
+
+
+def keep_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """``docs`` as ``decided`` says (doc_id, uid = row_hash, kept, once): rows that are not kept go, and of equal rows with ``once`` one stays."""
+    decided = saved(decided.select("doc_id", "uid", "kept", "once"), "decided")
+    gone = decided.filter("not kept").select("doc_id", "uid").distinct()
+    left = by_row(docs, gone, "left_anti")
+    again = decided.filter("kept and once").groupBy("doc_id", "uid").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id", "uid")
+    if again.isEmpty():
+        return left
+    one = by_row(left, again, "left_semi").withColumn("_uid", row_hash()).dropDuplicates(["_uid", "doc_id"]).drop("_uid")
+    return by_row(left, again, "left_anti").unionByName(one)

@@ -21,11 +21,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeweave.llm import wordhash
-from citeweave.llm.common import documents, saved, with_uid
+from citeweave.llm.common import documents, is_small, keep_rows, row_hash, saved, with_uid
 
 _U64 = np.uint64
 #: 1: a position that the mask looks at.
@@ -150,7 +150,7 @@ def _verify(window: int, same: float, least: int):
     return run
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, window: int = 13, same: float = 0.8, broadcast_rows: int = 2_000_000) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, window: int = 13, same: float = 0.8, uid: Column | None = None) -> DataFrame:
     """A row for each document and benchmark item that it contains: uid, doc_id, item_id, start (word), n_words, n_same of the best window."""
     spark = docs.sparkSession
     least = min(map(len, masks))
@@ -165,9 +165,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] =
     shifts = hits.join(index, "h").select("doc_id", "item", (F.col("p") - F.col("q")).alias("shift")).distinct()
     asked = shifts.join(items, "item").groupBy("doc_id").agg(F.collect_list(F.struct("item", "item_id", "shift", "words")).alias("asked"))
     asked = saved(asked.withColumnRenamed("doc_id", "asked_id"), "alignments")
-    few = asked.limit(broadcast_rows + 1).count() <= broadcast_rows
     ids = asked.select("asked_id")
-    near = with_uid(base).join(F.broadcast(ids) if few else ids, F.col("doc_id").eqNullSafe(F.col("asked_id")), "left_semi")
+    near = with_uid(docs.select("doc_id", "text"), uid).join(F.broadcast(ids) if is_small(ids) else ids, F.col("doc_id").eqNullSafe(F.col("asked_id")), "left_semi")
     near = near.join(asked, F.col("doc_id").eqNullSafe(F.col("asked_id"))).select("uid", "doc_id", "text", "asked")
     return near.mapInPandas(_verify(window, same, least), _FOUND)
 
@@ -188,6 +187,12 @@ def _filter_of(index: DataFrame, parts: int = 8) -> Filter:
     return whole
 
 
+def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that contain no item, all columns as they are."""
+    found = contaminated(docs, benchmark, uid=row_hash()).select("doc_id", "uid").distinct()
+    return keep_rows(docs, found.select("doc_id", "uid", F.lit(False).alias("kept"), F.lit(False).alias("once")))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.select("doc_id", "item_id", "start", "n_words", "n_same")

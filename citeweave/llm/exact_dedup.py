@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm.common import attach_groups, documents, saved, with_uid
+from citeweave.llm.common import attach_groups, documents, keep_rows, row_hash, saved, with_uid
 
 #: Runs of white space other than a lone space; the rest is in normal form as it stands.
 _RUN = r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]"
@@ -25,7 +25,7 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), _RUN, " ")
 
 
-def exact_dedup(docs: DataFrame, prefix_chars: int = 64, digests: bool = False, broadcast_groups: int = 1_000_000) -> DataFrame:
+def exact_dedup(docs: DataFrame, prefix_chars: int = 64, digests: bool = False, broadcast_groups: int = 1_000_000, uid: Column | None = None) -> DataFrame:
     """Per row of ``docs``: uid, doc_id, keep_id, group_size, kept, and sha256 (binary).
 
     ``digests``: give every row its digest.  Without it only rows of groups that survive the length and the prefix
@@ -33,7 +33,7 @@ def exact_dedup(docs: DataFrame, prefix_chars: int = 64, digests: bool = False,
     ``broadcast_groups`` (20 bytes each); beyond that every row is hashed during the scan, so that texts still stay
     where they are.
     """
-    norm = with_uid(docs.select("doc_id", normalised(F.col("text")).alias("_norm")))
+    norm = with_uid(docs.select("doc_id", "text"), uid).select("uid", "doc_id", normalised(F.col("text")).alias("_norm"))
     ladder = [F.length("_norm").alias("n_norm"), F.xxhash64(F.substring("_norm", 1, prefix_chars)).alias("prefix_hash")]
     full = F.unhex(F.sha2(F.col("_norm").cast("binary"), 256))
 
@@ -60,7 +60,7 @@ def exact_dedup(docs: DataFrame, prefix_chars: int = 64, digests: bool = False,
     groups = rows.filter("alive").groupBy("sha256").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n_group")).filter("n_group > 1")
     groups = saved(groups.select("sha256", "first", "n_group"), "dedup-groups")
     out = attach_groups(rows, groups, "sha256", "n_group", total)
-    first = F.col("first.uid").isNull() | (F.col("first.uid") == F.col("uid"))
+    first = F.col("first").isNull() | ((F.col("first.uid") == F.col("uid")) & F.col("first.doc_id").eqNullSafe(F.col("doc_id")))
     return out.select(
         "uid",
         "doc_id",
@@ -71,6 +71,12 @@ def exact_dedup(docs: DataFrame, prefix_chars: int = 64, digests: bool = False,
     )
 
 
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, all columns as they are."""
+    found = exact_dedup(docs, uid=row_hash())
+    return keep_rows(docs, found.select("doc_id", "uid", "kept", (F.col("group_size") > 1).alias("once")))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup(documents(spark, sf_dir), digests=True)
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha256")).alias("text_sha256"))

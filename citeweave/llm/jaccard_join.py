@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from citeweave.llm import wordhash
-from citeweave.llm.common import attach_groups, documents, saved, with_uid
+from citeweave.llm.common import attach_groups, documents, is_small, keep_rows, row_hash, saved, with_uid
 from citeweave.llm.components import components
 
 _U64 = np.uint64
@@ -71,27 +71,25 @@ def _lone(tokens: DataFrame) -> DataFrame:
     return owners.filter("a = b").groupBy(F.col("a").alias("sig")).agg(F.count(F.lit(1)).alias("lone"))
 
 
-def jaccard_join(docs: DataFrame, size: int = 5, threshold: Fraction = Fraction(4, 5), first: float = 0.28, fragments: int = 4, links: bool = False, broadcast_rows: int = 2_000_000) -> DataFrame:
-    """Per row of ``docs``: uid, doc_id, n_shingles, class_id, component_id (smallest doc_id of the component).
+def jaccard_join(docs: DataFrame, size: int = 5, threshold: Fraction = Fraction(4, 5), first: float = 0.28, fragments: int = 4, links: bool = False, uid: Column | None = None) -> DataFrame:
+    """Per row of ``docs``: uid, doc_id, n_shingles, class_id, component_id (smallest doc_id of the component), first (whether it has it).
 
     With ``links``: (a, b) of every two classes that link, by class_id, instead.
     """
     num, den = threshold.numerator, threshold.denominator
     low = int(first * 2**64)
-    base = with_uid(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    base = with_uid(docs.select("doc_id", "text"), uid)
     first_fragment = saved(base.mapInArrow(_shingle_sets(size, low, False), _SETS), "jaccard-first")
     rows = first_fragment.select("uid", "doc_id", "n", "sig")
-    no_id = F.lit((1 << 63) - 1)
-    classes = saved(rows.filter("n > 0").groupBy("sig").agg(F.min(F.coalesce("doc_id", no_id)).alias("least"), F.max("n").alias("n"), F.count(F.lit(1)).alias("n_rows")), "jaccard-classes")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid")
+    classes = saved(rows.filter("n > 0").groupBy("sig").agg(F.min(order).alias("least"), F.max("n").alias("n"), F.count(F.lit(1)).alias("n_rows")), "jaccard-classes")
 
     # 1. Classes that may still link: lone shingles are at most (1 - t) of all.
     few_lone = F.coalesce("lone", F.lit(0)) * den <= F.col("n") * (den - num)
     lone = _lone(first_fragment.select("sig", F.explode("tokens").alias("token")))
     alive = saved(classes.join(lone, "sig", "left").filter(few_lone).select("sig", "least"), "jaccard-alive")
-    ids = alive.select(F.when(F.col("least") < no_id, F.col("least")).alias("rep_id")).distinct()
-    if ids.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        ids = F.broadcast(ids)
-    again = base.join(ids, F.col("doc_id").eqNullSafe(F.col("rep_id")), "left_semi")
+    ids = alive.select(F.col("least.doc_id").alias("rep_id")).distinct()
+    again = base.join(F.broadcast(ids) if is_small(ids) else ids, F.col("doc_id").eqNullSafe(F.col("rep_id")), "left_semi")
     sets = again.mapInArrow(_shingle_sets(size, low, True), _SETS).select("sig", "n", "tokens").join(alive.select("sig"), "sig", "left_semi")
     sets = saved(sets.groupBy("sig").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")), "jaccard-sets")
 
@@ -138,12 +136,19 @@ def jaccard_join(docs: DataFrame, size: int = 5, threshold: Fraction = Fraction(
     # Classes to components, components to their least id, and that to rows.
     member = classes.join(found.withColumnRenamed("v", "sig"), "sig", "left").withColumn("c", F.coalesce("c", "sig"))
     member = saved(member.select("sig", "c", "least", "n_rows"), "jaccard-members")
-    least = member.groupBy("c").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n_classes"))
+    least = member.groupBy("c").agg(F.min("least").alias("head"), F.count(F.lit(1)).alias("n_classes"))
     member = attach_groups(member.withColumn("uid", F.col("sig")), saved(least, "jaccard-least"), "c", "n_classes", member.count(), how="inner")
-    member = saved(member.select("sig", "component_id", "n_rows"), "jaccard-members")
+    member = saved(member.select("sig", "head", "n_rows"), "jaccard-members")
     out = attach_groups(rows, member, "sig", "n_rows", rows.count())
-    own = F.coalesce("component_id", F.col("doc_id"))
-    return out.select("uid", "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("sig")).alias("class_id"), F.when(own < no_id, own).alias("component_id"))
+    alone = F.col("n") == 0
+    first = alone | ((F.col("head.uid") == F.col("uid")) & F.col("head.doc_id").eqNullSafe(F.col("doc_id")))
+    return out.select("uid", "doc_id", F.col("n").alias("n_shingles"), F.when(~alone, F.col("sig")).alias("class_id"), F.when(alone, F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("component_id"), first.alias("first"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` of which one of each component stays, all columns as they are; texts without words stay."""
+    found = jaccard_join(docs, uid=row_hash())
+    return keep_rows(docs, found.select("doc_id", "uid", F.col("first").alias("kept"), (F.col("n_shingles") > 0).alias("once")))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int, fragments: int) -> DataFrame:

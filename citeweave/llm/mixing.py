@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from citeweave.llm.common import WORD, documents, saved, with_uid
+from citeweave.llm.common import WORD, by_row, documents, row_hash, saved, with_uid
 
 WEIGHTS = (3.0, 1.0, 2.0)
 
@@ -94,9 +94,10 @@ def _round_block(block: pd.DataFrame) -> pd.DataFrame:
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, max_copies: float = 2.0, block: int = 2048, fan: int = 256, seed: int = 17) -> DataFrame:
-    """Per row of ``docs``: uid, doc_id, source, size, source_size, target, copies (int) and taken = size * copies."""
+    """Per row of ``docs``: uid, row (its hash), doc_id, source, size, source_size, target, copies (int) and taken = size * copies."""
     draw = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("size"))
-    sizes = saved(with_uid(docs.select("doc_id", "source", size_of(F.col("text")).alias("size"))).withColumn("draw", draw), "mix-sizes")
+    sizes = with_uid(docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), row_hash().alias("row")))
+    sizes = saved(sizes.withColumn("draw", draw), "mix-sizes")
     targets = saved(source_targets(sizes, weights, share, max_copies), "mix-targets")
     known = sizes.join(_spread(targets), F.col("source").eqNullSafe(F.col("t_source")), "left")
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -104,7 +105,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.
     # Documents without words need no duel.
     part = F.when(F.col("size") == 0, F.lit(0.0)).otherwise(F.greatest(copies - whole, F.lit(0.0)))
     blocks = F.greatest(F.ceil(F.col("n_docs") / block), F.lit(1))
-    rows = known.select("uid", "doc_id", "source", "size", "draw", "source_size", "target", whole.cast("int").alias("whole"), part.alias("part"), F.pmod(F.shiftright("draw", 8), blocks).alias("node"), F.col("n_docs"))
+    rows = known.select("uid", "row", "doc_id", "source", "size", "draw", "source_size", "target", whole.cast("int").alias("whole"), part.alias("part"), F.pmod(F.shiftright("draw", 8), blocks).alias("node"), F.col("n_docs"))
 
     unit = F.pmod(F.xxhash64(F.lit(seed + 1), "draw"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     shape = "uid long, source string, size long, draw long, node long, part double, unit double, open boolean"
@@ -125,7 +126,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.
         rounded = rounded.unionByName(more)
     out = rows.drop("part").join(rounded, "uid")
     copies = (F.col("whole") + F.round("part")).cast("int")
-    return out.select("uid", "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).cast("long").alias("taken"))
+    return out.select("uid", "row", "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).cast("long").alias("taken"))
 
 
 def _spread(targets: DataFrame, broadcast_rows: int = 200_000) -> DataFrame:
@@ -135,5 +136,16 @@ def _spread(targets: DataFrame, broadcast_rows: int = 200_000) -> DataFrame:
     return F.broadcast(side) if targets.limit(broadcast_rows + 1).count() <= broadcast_rows else side
 
 
+def mixture(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as the mix takes it, with ``copy`` from 1 on."""
+    taken = saved(mix(docs, **options).filter("copies > 0").groupBy("doc_id", F.col("row").alias("uid")).agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_n")), "mix-taken")
+    rows = by_row(docs, taken.filter("_n = 1").drop("_n"), "inner")
+    more = taken.filter("_n > 1")
+    if not more.isEmpty():  # equal rows: their copies are dealt out again, which row has how many makes no difference
+        one = by_row(docs, more.drop("_n"), "inner").withColumn("_row", row_hash()).dropDuplicates(["_row", "doc_id"]).drop("_row")
+        rows = rows.unionByName(one)
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).drop("_copies")
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
