@@ -18,6 +18,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def bounded(docs: DataFrame, mb: int = 8) -> DataFrame:
+    """``docs``, with the session told to hand Python batches of that many MB at most (a longer row comes alone)."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", mb << 20)
+    return docs
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 

@@ -25,6 +25,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeweave.llm import wordhash
-from citeweave.llm.common import documents, saved, training_row, with_uid
+from citeweave.llm.common import bounded, documents, saved, training_row, with_uid
 
 _U64 = np.uint64
 END = int(wordhash.mix(np.array([7], _U64))[0].view(np.int64))
@@ -46,30 +47,42 @@ SMOOTH = 0.1
 _LOG10E = float(np.log10(np.e))
 
 
-def tokens_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(token, tail class, offsets): the words of each document and its end token."""
+def tokens_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(token, offsets): the words of each document and its end token; a token's low bits are its tail class."""
     n = len(offsets) - 1
-    hashes, suffixes, places = [np.zeros(0, _U64)], [np.zeros(0, np.uint8)], [np.zeros(0, np.int64)]
+    hashes, places = [np.zeros(0, _U64)], [np.zeros(0, np.int64)]
     for at, window, starts, ends in wordhash.word_spans(raw, offsets):
-        hashes.append(wordhash.hash_spans(window, starts, ends))
-        suffixes.append((wordhash.hash_spans(window, np.maximum(starts, ends - 2), ends) % _U64(TAILS)).astype(np.uint8))
+        suffix = wordhash.hash_spans(window, np.maximum(starts, ends - 2), ends)
+        hashes.append((wordhash.hash_spans(window, starts, ends) & ~_U64(TAILS - 1)) | (suffix & _U64(TAILS - 1)))
         places.append(starts + at)
     firsts = np.searchsorted(np.concatenate(places), offsets)
     to = firsts + np.arange(n + 1)
-    token, tail = np.empty(int(to[-1]), np.int64), np.zeros(int(to[-1]), np.uint8)
+    token = np.full(int(to[-1]), END, np.int64)
     word = np.ones(len(token), bool)
     word[to[1:] - 1] = False
-    token[word], tail[word] = np.concatenate(hashes).view(np.int64), np.concatenate(suffixes)
-    token[~word] = END
-    return token, tail, to
+    token[word] = np.concatenate(hashes).view(np.int64)
+    return token, to
+
+
+def tail_of(token: np.ndarray) -> np.ndarray:
+    return (token & (TAILS - 1)).astype(np.uint16)
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted() -> pa.RecordBatch:
+        unique, count = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(unique), pa.array(count)], ["h", "c"])
+
+    held, n = [], 0
     for batch in batches:
-        for _, _, raw, offsets in wordhash.text_slices(batch, limit=wordhash.WINDOW * 8):
-            token, tail, _ = tokens_of(raw, offsets)
-            unique, first, count = np.unique(token, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(unique), pa.array(tail[first].astype(np.int32)), pa.array(count)], ["h", "tail", "c"])
+        for _, _, raw, offsets in wordhash.text_slices(batch):
+            held.append(tokens_of(raw, offsets)[0])
+            n += len(held[-1])
+            if n >= 1 << 21:
+                yield counted()
+                held, n = [], 0
+    if held:
+        yield counted()
 
 
 @dataclass
@@ -81,9 +94,6 @@ class Vocabulary:
     v: int
     tail_mass: np.ndarray  # of each tail class: counts + SMOOTH * (distinct + 1)
 
-    def base(self, c: np.ndarray) -> np.ndarray:
-        return np.log10((c + SMOOTH) / (self.n + SMOOTH * (self.v + 1)))
-
 
 def vocabulary(counts: DataFrame, known: int) -> Vocabulary:
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
@@ -94,13 +104,14 @@ def vocabulary(counts: DataFrame, known: int) -> Vocabulary:
         if taken + row["n"] > known:
             break
         taken, least = taken + row["n"], row["g"]
-    top = counts.filter(grade >= least).select("h", "tail", "c").toArrow()
-    h, tail, c = (top.column(k).to_numpy() for k in ("h", "tail", "c"))
+    top = counts.filter(grade >= least).select("h", "c").toArrow()
+    h, c = (top.column(k).to_numpy() for k in ("h", "c"))
+    tail = tail_of(h)
     rank = np.empty(len(h), np.int64)
     rank[np.lexsort((h, -c))] = np.arange(len(h))
     symbol = np.where(rank < HEAD, rank, HEAD + tail).astype(np.uint16)
     mass = np.full(TAILS, SMOOTH)
-    for row in counts.groupBy("tail").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("n")).collect():
+    for row in counts.groupBy(F.col("h").bitwiseAND(F.lit(TAILS - 1)).alias("tail")).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("n")).collect():
         mass[row["tail"]] += row["c"] + SMOOTH * row["n"]
     head = rank < HEAD
     np.add.at(mass, tail[head], -(c[head] + SMOOTH))
@@ -108,7 +119,7 @@ def vocabulary(counts: DataFrame, known: int) -> Vocabulary:
     return Vocabulary(h[order], c[order], symbol[order], int(n), int(v), np.maximum(mass, SMOOTH))
 
 
-_ROWS = "uid long, doc_id long, trains boolean, n_tokens long, n_known long, base double, tail double, symbols binary, rest_h array<long>, rest_tail array<int>"
+_ROWS = "uid long, doc_id long, trains boolean, n_tokens long, n_known long, base double, tail double, symbols binary, rest array<long>"
 
 
 def _encode(vocab):
@@ -116,22 +127,25 @@ def _encode(vocab):
         voc: Vocabulary = vocab.value
         for batch in batches:
             for begin, end, raw, offsets in wordhash.text_slices(batch):
-                token, tail, to = tokens_of(raw, offsets)
+                token, to = tokens_of(raw, offsets)
+                tail = tail_of(token)
                 at = np.minimum(np.searchsorted(voc.tokens, token), max(len(voc.tokens) - 1, 0))
                 hit = voc.tokens[at] == token if len(voc.tokens) else np.zeros(len(token), bool)
-                symbol = tail.astype(np.uint16) + np.uint16(HEAD)
+                symbol = tail + np.uint16(HEAD)
                 symbol[hit] = voc.symbols[at[hit]]
                 count = np.zeros(len(token))
                 count[hit] = voc.counts[at[hit]]
-                base = np.where(hit, voc.base(count), 0.0)
-                in_tail = np.where(hit & (symbol >= HEAD), np.log10((count + SMOOTH) / voc.tail_mass[tail]), 0.0)
+                # Of the rest, log10(count + SMOOTH) is added after the join.
+                share = np.where(hit, np.log10(count + SMOOTH), 0.0)
+                base = share - np.log10(voc.n + SMOOTH * (voc.v + 1))
+                in_tail = np.where(symbol >= HEAD, share - np.log10(voc.tail_mass)[tail], 0.0)
                 rest = np.flatnonzero(~hit)
                 ends = np.searchsorted(rest, to).astype(np.int32)
                 own = batch.slice(begin, end - begin)
                 columns = [own.column("uid"), own.column("doc_id"), own.column("trains"), pa.array(np.diff(to)), *(pa.array(np.add.reduceat(x, to[:-1])) for x in (hit.astype(np.int64), base, in_tail))]
                 symbols = pa.array([symbol[to[i] : to[i + 1]].tobytes() for i in range(end - begin)], pa.binary())
-                lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in (token[rest], tail[rest].astype(np.int32))]
-                yield pa.RecordBatch.from_arrays([*columns, symbols, *lists], [c.split()[0] for c in _ROWS.split(", ")])
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(token[rest]))
+                yield pa.RecordBatch.from_arrays([*columns, symbols, lists], [c.split()[0] for c in _ROWS.split(", ")])
 
     return run
 
@@ -141,6 +155,25 @@ def _row_of(kind: int, a: np.ndarray, b, rows: int) -> np.ndarray:
     return (wordhash.mix(x) % _U64(rows)).astype(np.int64)
 
 
+_BIAS = int(_row_of(0, np.zeros(1), 0, CLASS_ROWS)[0])
+
+
+@lru_cache(maxsize=1)
+def _row_tables() -> tuple[np.ndarray, ...]:
+    """Rows of all features by symbol, pair of symbols, or class and symbol; 16 bits, so that sorting them is linear."""
+    symbol = np.arange(START + 1, dtype=np.uint64)
+    cls, one = np.repeat(np.arange(HEADS), START + 1), np.tile(symbol, HEADS)
+    rows = (
+        _row_of(1, symbol, 0, CLASS_ROWS),
+        _row_of(2, symbol, 0, CLASS_ROWS),
+        _row_of(3, np.repeat(symbol, START + 1), np.tile(symbol, START + 1), CLASS_ROWS),
+        _row_of(4, np.zeros(HEADS), np.arange(HEADS), WORD_ROWS),
+        _row_of(5, one, cls, WORD_ROWS),
+        _row_of(6, one, cls, WORD_ROWS),
+    )
+    return tuple(r.astype(np.uint16) for r in rows)
+
+
 def contexts(symbols: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Symbols one and two before each place, ``START`` before a text."""
     one, two = np.full(len(symbols), START, np.uint16), np.full(len(symbols), START, np.uint16)
@@ -153,13 +186,15 @@ def contexts(symbols: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def class_features(one: np.ndarray, two: np.ndarray) -> list[np.ndarray]:
-    none = np.zeros(len(one), np.uint16)
-    return [_row_of(0, none, 0, CLASS_ROWS), _row_of(1, one, 0, CLASS_ROWS), _row_of(2, two, 0, CLASS_ROWS), _row_of(3, one, two, CLASS_ROWS)]
+    """Rows of the features at each place; the bias has one row for all."""
+    by_one, by_two, by_both = _row_tables()[:3]
+    return [np.array([_BIAS], np.uint16), by_one[one], by_two[two], by_both[one.astype(np.int64) * (START + 1) + two]]
 
 
 def word_features(one: np.ndarray, two: np.ndarray, cls: np.ndarray) -> list[np.ndarray]:
-    none = np.zeros(len(one), np.uint16)
-    return [_row_of(4, none, cls, WORD_ROWS), _row_of(5, one, cls, WORD_ROWS), _row_of(6, two, cls, WORD_ROWS)]
+    by_class, by_one, by_two = _row_tables()[3:]
+    at = cls * (START + 1)
+    return [by_class[cls], by_one[at + one], by_two[at + two]]
 
 
 def split_symbols(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,16 +209,31 @@ class Weights:
     classes: np.ndarray  # [CLASS_ROWS, CLASSES]
     words: np.ndarray  # [WORD_ROWS, WIDE]
 
-    @staticmethod
-    def soft(table: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
-        z = table[features[0]]
-        for f in features[1:]:
+    def __post_init__(self):
+        # Sums that can't leave the range of exp in 32 bits need no shift.
+        self.bounded = max(np.abs(self.classes).max() * 4, np.abs(self.words).max() * 3) < 80
+
+    def sums(self, table: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
+        z = table[features[1]]
+        for f in features[2:]:
             z += table[f]
-        z -= z.max(1, keepdims=True)
+        z += table[features[0]]
+        if not self.bounded:
+            z -= z.max(1, keepdims=True)
+        return z
+
+    def soft(self, table: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
+        z = self.sums(table, features)
         np.exp(z, out=z)
         z /= z.sum(1, keepdims=True)
         return z
 
+    def log(self, table: np.ndarray, features: list[np.ndarray], outcome: np.ndarray) -> np.ndarray:
+        z = self.sums(table, features)
+        own = z[np.arange(len(z)), outcome].astype(float)
+        np.exp(z, out=z)
+        return own - np.log(z.sum(1))
+
 
 def _parts(batch: pa.RecordBatch, limit: int = 1 << 15) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, symbols, offsets) of runs of rows with up to ``limit`` symbols, one row at least."""
@@ -200,13 +250,16 @@ def _parts(batch: pa.RecordBatch, limit: int = 1 << 15) -> Iterator[tuple[int, i
 
 def _places(n: int, to: np.ndarray, stride: int, offset: int) -> Iterator[slice | np.ndarray]:
     """Every ``stride``-th place from ``offset`` on, by pieces."""
-    step = (1 << 15) * stride
+    step = (1 << 12) * stride
     for at in range(0, n, step):
         yield np.arange(at + offset, min(n, at + step), stride)
 
 
 def _add_rows(total: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    """total[rows] += values, with repeated rows."""
+    """total[rows] += values, with repeated rows; a single row gets all values."""
+    if len(rows) == 1:
+        total[rows[0]] += values.sum(0)
+        return
     order = np.argsort(rows, kind="stable")
     sorted_rows = rows[order]
     starts = np.flatnonzero(np.r_[True, sorted_rows[1:] != sorted_rows[:-1]])
@@ -216,7 +269,7 @@ def _add_rows(total: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
 def _observe(features: list[np.ndarray], outcome: np.ndarray, seen: np.ndarray) -> None:
     flat = seen.reshape(-1)
     for f in features:
-        np.add.at(flat, f * seen.shape[1] + outcome, np.float32(1))
+        np.add.at(flat, f.astype(np.int64) * seen.shape[1] + outcome, np.float32(1))
 
 
 def _gather(weights, stride: int, offset: int):
@@ -293,14 +346,13 @@ def initial(seen: np.ndarray, bias_rows: np.ndarray, share: float, floor: float)
 
 def train(rows: DataFrame, rounds: int = 3, stride: int = 8, rate: float = 1.5) -> Weights:
     seen = gathered(rows, None, 1, 0)
-    zero = np.zeros(1, np.uint16)
-    class_bias = _row_of(0, zero, 0, CLASS_ROWS)
-    word_bias = np.unique(_row_of(4, np.zeros(HEADS, np.uint16), np.arange(HEADS), WORD_ROWS))
+    class_bias, word_bias = np.array([_BIAS]), np.unique(_row_tables()[3])
     w = Weights(initial(seen[0], class_bias, 0.5, 5.0), initial(seen[1], word_bias, 0.5, 5.0))
     for r in range(rounds):
         s0, s1, e0, e1 = gathered(rows, w, stride, r % stride)
         for table, s, e, active in ((w.classes, s0, e0, 4), (w.words, s1, e1, 3)):
             table += rate / active * (s - e) / (0.5 * (s + e) + 1.0)
+        w = Weights(w.classes, w.words)
     return w
 
 
@@ -314,12 +366,10 @@ def _score(weights):
                 cls, word = split_symbols(symbols)
                 logs = np.empty(len(symbols))
                 for at in _places(len(symbols), to, 1, 0):
-                    p = w.soft(w.classes, class_features(one[at], two[at]))
-                    logs[at] = np.log(p[np.arange(len(at)), cls[at]] + 1e-30)
+                    logs[at] = w.log(w.classes, class_features(one[at], two[at]), cls[at])
                     head = at[symbols[at] < HEAD]
                     if len(head):
-                        p = w.soft(w.words, word_features(one[head], two[head], cls[head]))
-                        logs[head] += np.log(p[np.arange(len(head)), word[head]] + 1e-30)
+                        logs[head] += w.log(w.words, word_features(one[head], two[head], cls[head]), word[head])
                 scores.append(np.add.reduceat(logs, to[:-1]) * _LOG10E)
             model = pa.array(np.concatenate(scores) if scores else np.zeros(0))
             yield pa.RecordBatch.from_arrays([*map(batch.column, _KEPT), model], [*_KEPT, "model"])
@@ -330,21 +380,18 @@ def _score(weights):
 _KEPT = ("uid", "doc_id", "trains", "n_tokens", "n_known", "base", "tail")
 
 
-def score(docs: DataFrame, mod: int = 10, held: int = 0, known: int = 400_000) -> DataFrame:
+def score(docs: DataFrame, mod: int = 10, held: int = 0, known: int = 1_000_000) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     sc = docs.sparkSession.sparkContext
-    base = with_uid(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), training_row(F.col("doc_id"), mod, held).alias("trains")))
-    partial = base.filter("trains").select("text").mapInArrow(_counts, "h long, tail int, c long")
-    counts = saved(partial.groupBy("h").agg(F.first("tail").alias("tail"), F.sum("c").alias("c")), "lm-counts")
+    base = with_uid(bounded(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), training_row(F.col("doc_id"), mod, held).alias("trains")))
+    partial = base.filter("trains").select("text").mapInArrow(_counts, "h long, c long")
+    counts = saved(partial.groupBy("h").agg(F.sum("c").alias("c")), "lm-counts")
     vocab = vocabulary(counts, known)
     rows = saved(base.mapInArrow(_encode(sc.broadcast(vocab)), _ROWS), "lm-rows")
     weights = sc.broadcast(train(rows))
 
-    rest = rows.select("uid", F.explode(F.arrays_zip("rest_h", "rest_tail")).alias("r")).select("uid", F.col("r.rest_h").alias("h"), F.col("r.rest_tail").alias("t"))
-    c = F.coalesce("c", F.lit(0)) + F.lit(SMOOTH)
-    mass = F.element_at(F.array(*[F.lit(float(m)) for m in vocab.tail_mass]), F.col("t") + 1)
-    found = rest.join(counts.select("h", "c"), "h", "left").select("uid", F.log10(c / F.lit(vocab.n + SMOOTH * (vocab.v + 1))).alias("b"), F.log10(c / mass).alias("m"), F.col("c").isNotNull().cast("long").alias("k"))
-    more = found.groupBy("uid").agg(F.sum("b").alias("b"), F.sum("m").alias("m"), F.sum("k").alias("k"))
+    rest = rows.select("uid", F.explode("rest").alias("h")).join(counts, "h", "left")
+    more = rest.groupBy("uid").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(SMOOTH))).alias("l"), F.count("c").alias("k"))
 
     model = rows.select(*_KEPT, "symbols").mapInArrow(_score(weights), "uid long, doc_id long, trains boolean, n_tokens long, n_known long, base double, tail double, model double")
     zero = lambda x: F.coalesce(x, F.lit(0))
@@ -354,8 +401,8 @@ def score(docs: DataFrame, mod: int = 10, held: int = 0, known: int = 400_000) -
         "n_tokens",
         (F.col("n_known") + zero("k")).alias("n_known"),
         F.lit(vocab.n).cast("long").alias("train_tokens"),
-        (F.col("base") + zero("b")).alias("base_score"),
-        (F.col("model") + F.col("tail") + zero("m")).alias("score"),
+        (F.col("base") + zero("l")).alias("base_score"),
+        (F.col("model") + F.col("tail") + zero("l")).alias("score"),
     )
 
 
