@@ -137,12 +137,9 @@ def unbucketed(rows: DataFrame) -> DataFrame:
 
 def marginals(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Counts by each of the columns alone, in one pass: column, value, n."""
-    sets = ", ".join(f"({c})" for c in columns)
-    rows.createOrReplaceTempView("_marginal_rows")
-    name = "CASE " + " ".join(f"WHEN grouping({c}) = 0 THEN '{c}'" for c in columns) + " END"
-    value = "CASE " + " ".join(f"WHEN grouping({c}) = 0 THEN CAST({c} AS STRING)" for c in columns) + " END"
-    found = rows.sparkSession.sql(f"SELECT {name} AS dimension, {value} AS value, count(*) AS n FROM _marginal_rows GROUP BY GROUPING SETS ({sets})")
-    return found
+    one = lambda f: F.coalesce(*[F.when(F.grouping(c) == 0, f(c)) for c in columns])
+    found = rows.groupingSets([[F.col(c)] for c in columns], *columns).agg(one(F.lit).alias("dimension"), F.count(F.lit(1)).alias("n"))
+    return found.select("dimension", F.coalesce(*[F.when(F.col("dimension") == c, F.col(c).cast("string")) for c in columns]).alias("value"), "n")
 
 
 # Splits.

@@ -22,22 +22,26 @@ def small(ids: DataFrame, most: int = MOST_IDS) -> DataFrame:
     return F.broadcast(ids) if ids.limit(most + 1).count() <= most else ids
 
 
-def last_by_id(references: Column) -> Column:
-    """References by id, the last of a repeated id, without blank ids and without those that lack a usable pmid."""
-    good = F.filter(references, lambda r: truthy(r["ref_id"]) & truthy(r["pmid"], "number"))
-    last = F.filter(good, lambda r, i: ~F.exists(F.slice(good, i + 2, F.greatest(F.size(good) - i - 1, F.lit(0))), lambda later: later["ref_id"] == r["ref_id"]))
-    return F.map_from_entries(F.transform(last, lambda r: F.struct(r["ref_id"], r)))
+def usable(references: Column) -> Column:
+    """References with an id and a pmid, the last one first, so that the first of an id is its last."""
+    return F.reverse(F.filter(references, lambda r: truthy(r["ref_id"]) & truthy(r["pmid"], "number")))
+
+
+def found(backwards: Column, keys: Column, ref_id: Column) -> Column:
+    """The reference with an id, of ``usable`` ones and their ids ``keys``; null without one."""
+    return F.get(backwards, (F.array_position(keys, ref_id) - 1).cast("int"))
 
 
 def edges(articles: DataFrame, ids: DataFrame) -> DataFrame:
     """A row for each reference of each citation event of an article in the domain that leads to a cited pmid in the domain.
 
-    The reference is found inside the row, by map, so that no join by article is needed.
+    References are found inside the row, before anything is exploded: no join by article, and no row carries all references.
     """
     ids = small(ids)
-    citing = articles.join(ids, "pmid", "left_semi").withColumn("refs", last_by_id(F.col("references")))
-    one = citing.select("pmcid", F.col("pmid").alias("citing_pmid"), "doi", "title", "journal", "year", "license", "subset", "refs", F.explode("citations").alias("e"))
-    each = one.select("*", F.explode("e.ref_ids").alias("ref_id")).withColumn("ref", F.try_element_at("refs", F.col("ref_id"))).drop("refs").filter("ref is not null")
+    citing = articles.join(ids, "pmid", "left_semi").withColumn("refs", usable(F.col("references"))).withColumn("keys", F.col("refs.ref_id"))
+    led = F.transform("citations", lambda e: F.transform(e["ref_ids"], lambda i: F.struct(e.alias("e"), found(F.col("refs"), F.col("keys"), i).alias("ref"))))
+    led = F.filter(F.flatten(led), lambda x: x["ref"].isNotNull())
+    each = citing.select("pmcid", F.col("pmid").alias("citing_pmid"), "doi", "title", "journal", "year", "license", "subset", F.inline(led))
     return each.withColumn("pmid", F.col("ref.pmid")).join(ids, "pmid", "left_semi")
 
 
