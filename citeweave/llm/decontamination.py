@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeweave.llm import wordhash
-from citeweave.llm.common import documents, is_small, keep_rows, row_hash, saved, with_uid
+from citeweave.llm.common import bounded, documents, is_small, keep_rows, row_hash, saved, with_uid
 
 _U64 = np.uint64
 #: 1: a position that the mask looks at.
@@ -160,7 +160,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] =
     short = items.select(F.size("words").alias("n")).filter(f"n > 0 and n < {least}").distinct().collect()  # lengths under that of a mask
     known = spark.sparkContext.broadcast(_filter_of(index))
 
-    base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    base = bounded(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     hits = base.mapInArrow(_hits([*masks, *("1" * r["n"] for r in short)], known), "doc_id long, h long, p long")
     shifts = hits.join(index, "h").select("doc_id", "item", (F.col("p") - F.col("q")).alias("shift")).distinct()
     asked = shifts.join(items, "item").groupBy("doc_id").agg(F.collect_list(F.struct("item", "item_id", "shift", "words")).alias("asked"))

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from citeweave.llm import wordhash
-from citeweave.llm.common import attach_groups, documents, is_small, keep_rows, row_hash, saved, with_uid
+from citeweave.llm.common import attach_groups, bounded, documents, is_small, keep_rows, row_hash, saved, with_uid
 from citeweave.llm.components import components
 
 _U64 = np.uint64
@@ -78,7 +78,7 @@ def jaccard_join(docs: DataFrame, size: int = 5, threshold: Fraction = Fraction(
     """
     num, den = threshold.numerator, threshold.denominator
     low = int(first * 2**64)
-    base = with_uid(docs.select("doc_id", "text"), uid)
+    base = with_uid(bounded(docs).select("doc_id", "text"), uid)
     first_fragment = saved(base.mapInArrow(_shingle_sets(size, low, False), _SETS), "jaccard-first")
     rows = first_fragment.select("uid", "doc_id", "n", "sig")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid")

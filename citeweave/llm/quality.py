@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeweave.llm import wordhash
-from citeweave.llm.common import documents
+from citeweave.llm.common import bounded, documents
 from citeweave.llm.labelled import held_out, labelled_sample
 
 #: Class of each byte: every ASCII punctuation mark for itself; lower, upper, digit, space, line end, other control, beyond ASCII.
@@ -42,7 +42,7 @@ def features(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     n = len(offsets) - 1
     sizes = np.diff(offsets)
     counts = np.zeros((n, N_CLASSES))
-    step = 1 << 20  # bytes at a time
+    step = 1 << 18  # bytes at a time
     for at in range(0, len(raw), step):
         part = raw[at : at + step]
         doc = np.searchsorted(offsets, np.arange(at, at + len(part)), side="right") - 1
@@ -118,7 +118,7 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 3000, cut: float = 0.7) -> Ranking:
     """Fits on up to ``per_class`` documents of each label; the share of label 0 is that of all training labels."""
-    sample = labelled_sample(docs, labels, "quality", per_class).mapInArrow(_feature_rows, "doc_id long, label int, x array<double>")
+    sample = labelled_sample(bounded(docs), labels, "quality", per_class).mapInArrow(_feature_rows, "doc_id long, label int, x array<double>")
     rows = sample.dropDuplicates(["doc_id"]).orderBy("doc_id").toPandas()
     share = labels.filter(~held_out(F.col("doc_id")) & F.col("quality").isin(0, 1)).agg(F.avg(1.0 - F.col("quality"))).first()[0]
     x = np.array(rows["x"].tolist(), float).reshape(-1, N_FEATURES)
@@ -133,7 +133,7 @@ def score(docs: DataFrame, model: Ranking) -> DataFrame:
             for begin, end, raw, offsets in wordhash.text_slices(batch):
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(begin, end - begin), pa.array(model.score(features(raw, offsets)))], ["doc_id", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+    return bounded(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
 
 
 def accepted(docs: DataFrame, model: Ranking) -> DataFrame:
@@ -141,10 +141,10 @@ def accepted(docs: DataFrame, model: Ranking) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = [model.score(features(raw, offsets)) >= model.cut for _, _, raw, offsets in wordhash.text_slices(batch)]
-            yield batch.filter(pa.array(np.concatenate(good) if good else np.zeros(0, bool)))
+            for begin, end, raw, offsets in wordhash.text_slices(batch):
+                yield batch.slice(begin, end - begin).filter(pa.array(model.score(features(raw, offsets)) >= model.cut))
 
-    return docs.mapInArrow(run, docs.schema)
+    return bounded(docs).mapInArrow(run, docs.schema)
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

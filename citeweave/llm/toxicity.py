@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeweave.llm import wordhash
-from citeweave.llm.common import documents
+from citeweave.llm.common import bounded, documents
 from citeweave.llm.labelled import held_out, labelled_sample
 
 BUCKETS = 1 << 14
@@ -198,7 +198,7 @@ def _bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000, calibrate: float = 0.25) -> Model:
     """Fits on up to ``per_class`` documents of each label; of these, the part ``calibrate`` sets thresholds only."""
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string").alias("lang")
-    sample = labelled_sample(docs.select("doc_id", "text", lang), labels, "toxic", per_class, ("lang",))
+    sample = labelled_sample(bounded(docs).select("doc_id", "text", lang), labels, "toxic", per_class, ("lang",))
     sample = sample.mapInArrow(_bucket_rows, "doc_id long, label int, lang string, words binary").dropDuplicates(["doc_id"])
     rows = sample.orderBy(F.xxhash64("doc_id")).toPandas()
     share = labels.filter(~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1)).agg(F.avg("toxic")).first()[0]
@@ -222,7 +222,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score of each row of ``docs``; with a column lang also toxic, by the language's threshold."""
     network = docs.sparkSession.sparkContext.broadcast(model.network)
     with_lang = "lang" in docs.columns
-    base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *(["lang"] if with_lang else []))
+    base = bounded(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *(["lang"] if with_lang else []))
     kept = ["doc_id", *(["lang"] if with_lang else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,7 +25,7 @@ _KEEP = np.array([0] + [(1 << (8 * k)) - 1 for k in range(1, 8)] + [(1 << 64) -
 #: Longer words are hashed one by one.
 _LONG = 512
 #: Bytes that are worked on at a time.
-WINDOW = 1 << 21
+WINDOW = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
