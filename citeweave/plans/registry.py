@@ -15,7 +15,7 @@ from citeweave import schemas
 from citeweave.functions import extraction as E
 from citeweave.functions import text as X
 from citeweave.functions import values as V
-from citeweave.operators import articles, curate, enrich, extract, lookups
+from citeweave.operators import articles, curate, enrich, extract, lookups, reports
 from citeweave.sources import archives, tables
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -547,3 +547,13 @@ def q_extract_stub(spark, d):
 def q_first_record(spark, d):
     return t(spark, d, "documents").filter("lang = 'en'").select("doc_id").orderBy("doc_id").limit(1)
 
+
+@query("SELECT count(*) AS n_seen, count(*) FILTER (WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size <= 10)) AS n_hits FROM lineitem")
+def q_hit_counts(spark, d):
+    ids = t(spark, d, "part").filter("p_size <= 10").select(c("p_partkey").alias("l_partkey"))
+    return reports.hit_counts(t(spark, d, "lineitem").select("l_partkey"), ids, "l_partkey")
+
+
+@query("SELECT source, count(*) AS n FROM documents GROUP BY source")
+def q_most_common(spark, d):
+    return reports.most_common(t(spark, d, "documents").select("source", "doc_id"), "source", "doc_id")

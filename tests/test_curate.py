@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from citeweave import schemas
 from citeweave.functions import text as X
 from citeweave.functions import values as V
-from citeweave.operators import curate
+from citeweave.operators import curate, reports
 
 
 def result(i, pmcid="PMC1", pmid=2, sentence="S.", ok=True, attempts=1, relevance="match", strength="strong", design="rct", mesh=None):
@@ -138,3 +138,14 @@ def test_splits(spark):
     sizes = {r["split"]: (r["n"], r["pct_of_hashed"]) for r in curate.split_sizes(index).collect()}
     assert sizes["fail"] == (2, None) and sizes["train"][0] == 2 and abs(sizes["val"][1] - 100 / 3) < 1e-3
     assert curate.materialised(df.filter("line_idx < 6"), index).count() == 6
+
+
+def test_reports(spark):
+    df = spark.createDataFrame([("b", 0), ("a", 1), ("c", 2), ("c", 3)], "x string, i int")
+    assert [tuple(r) for r in reports.most_common(df, "x", "i").collect()] == [("c", 2), ("b", 1), ("a", 1)]
+    seen, counts = reports.watched(df, "rows of x", total=F.sum("i"))
+    seen.collect()
+    assert counts.get == {"rows": 4, "total": 6}
+    assert reports.seed_mark("seed") == "19b25856e1c150ca"
+    got = {(r["dimension"], r["value"], r["n"]) for r in curate.marginals(df, ("x", "i")).collect()}
+    assert ("x", "c", 2) in got and ("i", "3", 1) in got and len(got) == 7
