@@ -44,7 +44,17 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/citeweave/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.scratch = path
+    return found
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes what ``saved`` wrote for tables that no later plan reads."""
+    for df in tables:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df.scratch)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def with_uid(docs: DataFrame, uid: Column | None = None) -> DataFrame:

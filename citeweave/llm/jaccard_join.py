@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from citeweave.llm import wordhash
-from citeweave.llm.common import attach_groups, bounded, documents, is_small, keep_rows, row_hash, saved, with_uid
+from citeweave.llm.common import attach_groups, bounded, documents, forget, is_small, keep_rows, row_hash, saved, with_uid
 from citeweave.llm.components import components
 
 _U64 = np.uint64
@@ -80,7 +80,7 @@ def jaccard_join(docs: DataFrame, size: int = 5, threshold: Fraction = Fraction(
     low = int(first * 2**64)
     base = with_uid(bounded(docs).select("doc_id", "text"), uid)
     first_fragment = saved(base.mapInArrow(_shingle_sets(size, low, False), _SETS), "jaccard-first")
-    rows = first_fragment.select("uid", "doc_id", "n", "sig")
+    rows = saved(first_fragment.select("uid", "doc_id", "n", "sig"), "jaccard-rows")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid")
     classes = saved(rows.filter("n > 0").groupBy("sig").agg(F.min(order).alias("least"), F.max("n").alias("n"), F.count(F.lit(1)).alias("n_rows")), "jaccard-classes")
 
@@ -88,6 +88,7 @@ def jaccard_join(docs: DataFrame, size: int = 5, threshold: Fraction = Fraction(
     few_lone = F.coalesce("lone", F.lit(0)) * den <= F.col("n") * (den - num)
     lone = _lone(first_fragment.select("sig", F.explode("tokens").alias("token")))
     alive = saved(classes.join(lone, "sig", "left").filter(few_lone).select("sig", "least"), "jaccard-alive")
+    forget(first_fragment)  # the largest of all tables here
     ids = alive.select(F.col("least.doc_id").alias("rep_id")).distinct()
     again = base.join(F.broadcast(ids) if is_small(ids) else ids, F.col("doc_id").eqNullSafe(F.col("rep_id")), "left_semi")
     sets = again.mapInArrow(_shingle_sets(size, low, True), _SETS).select("sig", "n", "tokens").join(alive.select("sig"), "sig", "left_semi")
@@ -104,6 +105,7 @@ def jaccard_join(docs: DataFrame, size: int = 5, threshold: Fraction = Fraction(
     reach = F.col("n") - F.ceil(F.col("n") * num / F.lit(float(den)) - 1e-9) + 1
     prefix = shared.select(F.col("uid").alias("sig"), "n", "token", u.alias("lone"), place.alias("at")).filter(few_lone & (F.col("at") < reach))
     prefix = saved(prefix.select("sig", "n", "token", "lone", "at"), "jaccard-prefix")
+    forget(df)
 
     # overlap o links iff o / (n + n' - o) >= t, so o * (num + den) >= num * (n + n').
     def may_link(x: str, y: str) -> Column:
@@ -131,6 +133,7 @@ def jaccard_join(docs: DataFrame, size: int = 5, threshold: Fraction = Fraction(
     rest = _linked(rest.select(F.least("x.sig", "y.sig").alias("a"), F.greatest("x.sig", "y.sig").alias("b")).distinct(), sets, num, den, fragments)
     if links:
         return rest
+    forget(sets, prefix)
     found = components(hubs.unionByName(rest))
 
     # Classes to components, components to their least id, and that to rows.
@@ -163,7 +166,9 @@ def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int, fragments: in
     asked = pairs.select("a", "b", F.explode(F.sequence(F.lit(0), F.lit(fragments - 1))).alias("f"))
     partial = asked.join(b, ["b", "f"]).join(a, ["a", "f"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("o"))
     summed = partial.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.sum("o").alias("o"))
-    return saved(summed.filter(F.col("o") * (num + den) >= (F.col("na") + F.col("nb")) * num).select("a", "b"), "jaccard-links")
+    found = saved(summed.filter(F.col("o") * (num + den) >= (F.col("na") + F.col("nb")) * num).select("a", "b"), "jaccard-links")
+    forget(cut)
+    return found
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

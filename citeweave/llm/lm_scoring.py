@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeweave.llm import wordhash
-from citeweave.llm.common import bounded, documents, saved, training_row, with_uid
+from citeweave.llm.common import bounded, documents, forget, saved, training_row, with_uid
 
 _U64 = np.uint64
 END = int(wordhash.mix(np.array([7], _U64))[0].view(np.int64))
@@ -321,17 +321,18 @@ def gathered(rows: DataFrame, weights: Weights | None, stride: int, offset: int,
     """The summed tables, added up in a tree: pieces of ``fan`` tasks at a time meet in one group."""
     known = rows.sparkSession.sparkContext.broadcast(weights) if weights else None
     parts = rows.filter("trains").select("symbols").mapInArrow(_gather(known, stride, offset), "k int, j int, piece binary")
-    parts = saved(parts.withColumn("t", F.spark_partition_id()), "lm-sums")
-    while (parts.agg(F.max("t")).first()[0] or 0) > 0:
-        parts = parts.withColumn("t", F.floor(F.col("t") / fan).cast("int"))
-        summed = parts.groupBy("t", "k", "j").applyInPandas(lambda key, f: _sum_pieces(f).assign(t=key[0]), "k int, j int, piece binary, t int")
-        parts = saved(summed, "lm-sums")
+    table = saved(parts.withColumn("t", F.spark_partition_id()), "lm-sums")
+    while (table.agg(F.max("t")).first()[0] or 0) > 0:
+        grouped = table.withColumn("t", F.floor(F.col("t") / fan).cast("int")).groupBy("t", "k", "j")
+        before, table = table, saved(grouped.applyInPandas(lambda key, f: _sum_pieces(f).assign(t=key[0]), "k int, j int, piece binary, t int"), "lm-sums")
+        forget(before)
     shapes = [(CLASS_ROWS, CLASSES), (WORD_ROWS, WIDE)] * (2 if weights else 1)
     out = [np.zeros(s, np.float32) for s in shapes]
-    for row in parts.toLocalIterator():  # one set of tables, of a fixed size
-        table = out[row["k"]]
-        n = len(table) // 8
-        table[row["j"] * n : (row["j"] + 1) * n] = np.frombuffer(zlib.decompress(row["piece"]), np.float32).reshape(n, -1)
+    for row in table.toLocalIterator():  # one set of tables, of a fixed size
+        into = out[row["k"]]
+        n = len(into) // 8
+        into[row["j"] * n : (row["j"] + 1) * n] = np.frombuffer(zlib.decompress(row["piece"]), np.float32).reshape(n, -1)
+    forget(table)
     return out
 
 
