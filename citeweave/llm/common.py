@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import math
+import shutil
 import tempfile
 import uuid
 
@@ -30,11 +32,12 @@ def scratch_root(spark: SparkSession) -> str:
     Only a session in one local JVM (as in tests) may go without that setting; it gets a temporary folder.
     """
     sc = spark.sparkContext
-    folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
         if not sc.master.startswith("local[") and sc.master != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="citeweave-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         sc.setCheckpointDir(folder)
     return folder.rstrip("/")
 
