@@ -15,6 +15,7 @@ an empty result.  Further columns are ignored.
 from __future__ import annotations
 
 import os
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm.common import documents, saved, with_uid
+from citeweave.llm.common import bounded, documents, saved, with_uid
 
 MARGIN = 32
 SLICE_CHARS = 1 << 20
@@ -81,16 +82,24 @@ def _encode_chunk(path: str, overlap: int):
             out = []
             for uid, k, start, last, text in frame[["uid", "k", "start", "last", "text"]].itertuples(index=False):
                 e = tok.encode(text, add_special_tokens=False)
-                words, offsets = e.word_ids, e.offsets
-                places = [(o[0], i) for i, (w, o) in enumerate(zip(words, offsets, strict=True)) if i == 0 or w != words[i - 1]]
-                head = [p for p in places if p[0] < overlap]
-                tail = [] if last else [p for p in places if len(text) - overlap <= p[0] <= len(text) - MARGIN]
-                out.append((uid, k, last, len(words), [start + p for p, _ in head], [i for _, i in head], [start + p for p, _ in tail], [i for _, i in tail]))
+                head, tail = _starts(e, 0, overlap), [] if last else _starts(e, len(text) - overlap, len(text) - MARGIN + 1)
+                out.append((uid, k, last, len(e), [start + p for p, _ in head], [i for _, i in head], [start + p for p, _ in tail], [i for _, i in tail]))
             yield pd.DataFrame(out, columns=["uid", "k", "last", "n", "head_at", "head_n", "tail_at", "tail_n"])
 
     return run
 
 
+def _starts(encoding, low: int, high: int) -> list[tuple[int, int]]:
+    """(place, token) where a pre-token starts at low <= place < high; only tokens near those places are looked at."""
+    n, out = len(encoding), []
+    i = 0 if low <= 0 else bisect_left(range(n), low, key=lambda i: encoding.token_to_chars(i)[0])
+    while i < n and (place := encoding.token_to_chars(i)[0]) < high:
+        if i == 0 or encoding.token_to_word(i) != encoding.token_to_word(i - 1):
+            out.append((place, i))
+        i += 1
+    return out
+
+
 def splice(parts: pd.DataFrame) -> int | None:
     """Tokens of one document from its chunks; None if two neighbours share no pre-token start."""
     parts = parts.sort_values("k")
@@ -115,7 +124,7 @@ def _splice(parts: pd.DataFrame) -> pd.DataFrame:
 def count_tokens(docs: DataFrame, path: str, huge: int = 32768, step: int = 16384, overlap: int = 512) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_tokens."""
     text = F.coalesce("text", F.lit(""))
-    base = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
+    base = bounded(docs).select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
     small = base.filter(F.length("text") <= huge).mapInArrow(_encode_whole(path), "doc_id long, n_bytes long, n_tokens long")
 
     large = saved(with_uid(base.filter(F.length("text") > huge)), "huge-documents")
