@@ -38,11 +38,19 @@ def _field(payload: Column, name: str, kind: str = "string") -> Column:
 
 
 def problems(text: Column) -> Column:
-    """Names of the fields of a JSON record that break the record's rules; an array, empty for a valid record."""
-    v = F.try_parse_json(text)
+    """Names of the fields of a JSON record that break the record's rules; an array, empty for a valid record.
+
+    The text is parsed once and bound to a lambda's variable, as each rule would parse it anew.
+    """
+    names = F.coalesce(F.json_object_keys(text), F.array().cast("array<string>"))
+    once = F.array(F.struct(F.try_parse_json(text).alias("v"), names.alias("names")))
+    return F.get(F.transform(once, lambda x: _broken_rules(x["v"], x["names"])), 0)
+
+
+def _broken_rules(v: Column, names: Column) -> Column:
     kind = lambda name: F.schema_of_variant(F.try_variant_get(v, f"$.{name}", "variant"))
     is_text = lambda name: F.coalesce(kind(name) == "STRING", F.lit(False))
-    absent = lambda name: ~F.array_contains(F.coalesce(F.json_object_keys(text), F.array().cast("array<string>")), name)
+    absent = lambda name: ~F.array_contains(names, name)
     bad: dict[str, Column] = {}
     for name in REQUIRED:
         bad[name] = ~is_text(name)
