@@ -13,6 +13,7 @@ from citeweave.functions.values import or_empty
 
 #: Fixed value: strata in the order in which cells are planned.
 STRATA = ("match_strong", "match_moderate", "match_weak", "mismatch", "ambiguous")
+#: Fixed value: what stands for a missing article id in the split.
 NO_ARTICLE = "__NULL_PMCID__"
 
 
