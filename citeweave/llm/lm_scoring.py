@@ -10,9 +10,10 @@ are softmaxes whose scores sum weights of hashed features: a bias, the previous
 bigram.  Inside a tail class tokens have their smoothed share of the class's counts.  So the model's
 probabilities sum to one just as the base's do.
 
-Training.  Weights start from counts of feature and outcome over all training tokens.  Then gradient updates: each executor
-sums observed less expected counts over its documents, at every ``stride``-th place of each text with an offset that
-moves on, the sums are added up, and the weights take a step scaled by the counts.  Scores are computed in numpy batches.
+Training.  Weights start from counts of feature and outcome over all training tokens.  Then gradient updates: executors sum
+expected counts over every place of every training text, the sums are added up, and the weights take a step along observed less
+expected counts, scaled by both.  What is expected at a place depends on its two history symbols (and the class) alone, so
+places are counted by these once, over all texts, and each round works on the distinct ones, weighted.  Scores are computed in numpy batches.
 
 Tokens are 64-bit hashes of words, see ``wordhash``; texts are read twice, afterwards two bytes a token.
 
@@ -248,11 +249,11 @@ def _parts(batch: pa.RecordBatch, limit: int = 1 << 15) -> Iterator[tuple[int, i
         begin = end
 
 
-def _places(n: int, to: np.ndarray, stride: int, offset: int) -> Iterator[slice | np.ndarray]:
-    """Every ``stride``-th place from ``offset`` on, by pieces."""
-    step = (1 << 12) * stride
+def _places(n: int) -> Iterator[slice]:
+    """All places, by pieces."""
+    step = 1 << 12
     for at in range(0, n, step):
-        yield np.arange(at + offset, min(n, at + step), stride)
+        yield slice(at, min(n, at + step))
 
 
 def _add_rows(total: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
@@ -272,39 +273,91 @@ def _observe(features: list[np.ndarray], outcome: np.ndarray, seen: np.ndarray)
         np.add.at(flat, f.astype(np.int64) * seen.shape[1] + outcome, np.float32(1))
 
 
-def _gather(weights, stride: int, offset: int):
-    """Sums over a task's documents: observed counts and, with ``weights``, expected ones, as compressed pieces of tables."""
+_PIECES = "k int, j int, piece binary"
+#: A context is a pair of history symbols; from here on, a pair and a head class.
+_WITH_CLASS = (START + 1) ** 2
 
+
+def _table_pieces(tables: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for k, table in enumerate(tables):
+        for j, piece in enumerate(np.split(table, 8)):
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([j], pa.int32()), pa.array([zlib.compress(piece.tobytes(), 1)], pa.binary())], ["k", "j", "piece"])
+
+
+def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of feature and outcome over a task's documents, as compressed pieces of tables."""
+    seen = [np.zeros((CLASS_ROWS, CLASSES), np.float32), np.zeros((WORD_ROWS, WIDE), np.float32)]
+    any_row = False
+    for batch in batches:
+        for _, _, symbols, to in _parts(batch, 1 << 18):
+            any_row = True
+            one, two = contexts(symbols, to)
+            cls, word = split_symbols(symbols)
+            for at in _places(len(symbols)):
+                _observe(class_features(one[at], two[at]), cls[at], seen[0])
+                head = np.flatnonzero(symbols[at] < HEAD) + at.start
+                _observe(word_features(one[head], two[head], cls[head]), word[head], seen[1])
+    if any_row:
+        yield from _table_pieces(seen)
+
+
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of places by context, added up while up to 2^21 are held."""
+
+    def counted() -> tuple[np.ndarray, np.ndarray]:
+        key, count = np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held])
+        order = np.argsort(key)
+        key = key[order]
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        return key[starts], np.add.reduceat(count[order], starts)
+
+    held, n = [], 0
+    for batch in batches:
+        for _, _, symbols, to in _parts(batch, 1 << 18):
+            one, two = contexts(symbols, to)
+            pair = one.astype(np.uint32) * np.uint32(START + 1) + two
+            head = symbols < HEAD
+            cls = split_symbols(symbols[head])[0].astype(np.uint32)
+            held += [np.unique(k, return_counts=True) for k in (pair, pair[head] * np.uint32(HEADS) + cls + np.uint32(_WITH_CLASS))]
+            n += sum(len(k) for k, _ in held[-2:])
+            if n >= 1 << 21:
+                held = [counted()]
+                n = len(held[0][0])
+                if n >= 1 << 20:
+                    yield _context_rows(*held[0])
+                    held, n = [], 0
+    if held:
+        yield _context_rows(*counted())
+
+
+def _context_rows(key: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), pa.array(count.astype(np.int64))], ["h", "c"])
+
+
+def _expect(w: Weights, key: np.ndarray, count: np.ndarray, totals: list[np.ndarray]) -> None:
+    """Adds to ``totals`` the expected counts of feature and outcome at all places of these contexts."""
+    for k, part in enumerate((key < _WITH_CLASS, key >= _WITH_CLASS)):
+        keys, counts = key[part] - k * _WITH_CLASS, count[part].astype(np.float32)
+        for at in _places(len(keys)):
+            pair = keys[at] // HEADS if k else keys[at]
+            one, two = pair // (START + 1), pair % (START + 1)
+            features = word_features(one, two, keys[at] % HEADS) if k else class_features(one, two)
+            p = w.soft(w.words if k else w.classes, features)
+            p *= counts[at, None]
+            for f in features:
+                _add_rows(totals[k], f, p)
+
+
+def _expected(weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w: Weights | None = weights.value if weights is not None else None
-        seen = [np.zeros((CLASS_ROWS, CLASSES), np.float32), np.zeros((WORD_ROWS, WIDE), np.float32)]
-        expected = [np.zeros_like(x) for x in seen] if w else []
+        w: Weights = weights.value
+        totals = [np.zeros((CLASS_ROWS, CLASSES), np.float64), np.zeros((WORD_ROWS, WIDE), np.float64)]
         any_row = False
         for batch in batches:
-            for _, _, symbols, to in _parts(batch, 1 << 18):
-                any_row = True
-                one, two = contexts(symbols, to)
-                cls, word = split_symbols(symbols)
-                for at in _places(len(symbols), to, stride, offset):
-                    if not len(at):
-                        continue
-                    cf = class_features(one[at], two[at])
-                    _observe(cf, cls[at], seen[0])
-                    head = at[symbols[at] < HEAD]
-                    wf = word_features(one[head], two[head], cls[head])
-                    _observe(wf, word[head], seen[1])
-                    if w:
-                        p = w.soft(w.classes, cf)
-                        for f in cf:
-                            _add_rows(expected[0], f, p)
-                        if len(head):
-                            p = w.soft(w.words, wf)
-                            for f in wf:
-                                _add_rows(expected[1], f, p)
+            any_row = any_row or batch.num_rows > 0
+            _expect(w, *(batch.column(k).to_numpy() for k in ("h", "c")), totals)
         if any_row:
-            for k, table in enumerate([*seen, *expected]):
-                for j, piece in enumerate(np.split(table, 8)):
-                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([j], pa.int32()), pa.array([zlib.compress(piece.tobytes(), 1)], pa.binary())], ["k", "j", "piece"])
+            yield from _table_pieces([x.astype(np.float32) for x in totals])
 
     return run
 
@@ -317,17 +370,14 @@ def _sum_pieces(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"k": frame["k"].iloc[:1], "j": frame["j"].iloc[:1], "piece": [zlib.compress(total.astype(np.float32).tobytes(), 1)]})
 
 
-def gathered(rows: DataFrame, weights: Weights | None, stride: int, offset: int, fan: int = 32) -> list[np.ndarray]:
+def _summed(parts: DataFrame, fan: int = 32) -> list[np.ndarray]:
     """The summed tables, added up in a tree: pieces of ``fan`` tasks at a time meet in one group."""
-    known = rows.sparkSession.sparkContext.broadcast(weights) if weights else None
-    parts = rows.filter("trains").select("symbols").mapInArrow(_gather(known, stride, offset), "k int, j int, piece binary")
     table = saved(parts.withColumn("t", F.spark_partition_id()), "lm-sums")
     while (table.agg(F.max("t")).first()[0] or 0) > 0:
         grouped = table.withColumn("t", F.floor(F.col("t") / fan).cast("int")).groupBy("t", "k", "j")
         before, table = table, saved(grouped.applyInPandas(lambda key, f: _sum_pieces(f).assign(t=key[0]), "k int, j int, piece binary, t int"), "lm-sums")
         forget(before)
-    shapes = [(CLASS_ROWS, CLASSES), (WORD_ROWS, WIDE)] * (2 if weights else 1)
-    out = [np.zeros(s, np.float32) for s in shapes]
+    out = [np.zeros((CLASS_ROWS, CLASSES), np.float32), np.zeros((WORD_ROWS, WIDE), np.float32)]
     for row in table.toLocalIterator():  # one set of tables, of a fixed size
         into = out[row["k"]]
         n = len(into) // 8
@@ -336,6 +386,27 @@ def gathered(rows: DataFrame, weights: Weights | None, stride: int, offset: int,
     return out
 
 
+def observed(rows: DataFrame) -> list[np.ndarray]:
+    """Counts of feature and outcome at all training places."""
+    return _summed(rows.filter("trains").select("symbols").mapInArrow(_observed, _PIECES))
+
+
+def context_counts(rows: DataFrame) -> DataFrame:
+    """Each context of a training place and at how many it stands; up to 2^18 a task, so that few tasks make tables of sums."""
+    partial = rows.filter("trains").select("symbols").mapInArrow(_contexts, "h long, c long")
+    table = saved(partial.groupBy("h").agg(F.sum("c").alias("c")), "lm-contexts")
+    tasks = max(1, table.count() >> 18)
+    few = table.coalesce(tasks)
+    few.scratch = table.scratch
+    return few
+
+
+def expected(table: DataFrame, weights: Weights) -> list[np.ndarray]:
+    """Expected counts of feature and outcome at all training places; ``table``: of ``context_counts``."""
+    known = table.sparkSession.sparkContext.broadcast(weights)
+    return _summed(table.mapInArrow(_expected(known), _PIECES))
+
+
 def initial(seen: np.ndarray, bias_rows: np.ndarray, share: float, floor: float) -> np.ndarray:
     """Weights from counts: the bias has log shares, another feature ``share`` of the log ratio of its outcomes to the bias's."""
     mean = seen.sum(0) + 1e-3
@@ -345,15 +416,17 @@ def initial(seen: np.ndarray, bias_rows: np.ndarray, share: float, floor: float)
     return w.astype(np.float32)
 
 
-def train(rows: DataFrame, rounds: int = 3, stride: int = 8, rate: float = 1.5) -> Weights:
-    seen = gathered(rows, None, 1, 0)
+def train(rows: DataFrame, rounds: int = 3, rate: float = 1.5) -> Weights:
+    s0, s1 = observed(rows)
+    table = context_counts(rows)
     class_bias, word_bias = np.array([_BIAS]), np.unique(_row_tables()[3])
-    w = Weights(initial(seen[0], class_bias, 0.5, 5.0), initial(seen[1], word_bias, 0.5, 5.0))
-    for r in range(rounds):
-        s0, s1, e0, e1 = gathered(rows, w, stride, r % stride)
-        for table, s, e, active in ((w.classes, s0, e0, 4), (w.words, s1, e1, 3)):
-            table += rate / active * (s - e) / (0.5 * (s + e) + 1.0)
+    w = Weights(initial(s0, class_bias, 0.5, 5.0), initial(s1, word_bias, 0.5, 5.0))
+    for _ in range(rounds):
+        e0, e1 = expected(table, w)
+        for weights, s, e, active in ((w.classes, s0, e0, 4), (w.words, s1, e1, 3)):
+            weights += rate / active * (s - e) / (0.5 * (s + e) + 1.0)
         w = Weights(w.classes, w.words)
+    forget(table)
     return w
 
 
@@ -366,9 +439,9 @@ def _score(weights):
                 one, two = contexts(symbols, to)
                 cls, word = split_symbols(symbols)
                 logs = np.empty(len(symbols))
-                for at in _places(len(symbols), to, 1, 0):
+                for at in _places(len(symbols)):
                     logs[at] = w.log(w.classes, class_features(one[at], two[at]), cls[at])
-                    head = at[symbols[at] < HEAD]
+                    head = np.flatnonzero(symbols[at] < HEAD) + at.start
                     if len(head):
                         logs[head] += w.log(w.words, word_features(one[head], two[head], cls[head]), word[head])
                 scores.append(np.add.reduceat(logs, to[:-1]) * _LOG10E)

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from citeweave.llm import lm_scoring, quality, toxicity
@@ -94,6 +95,27 @@ def test_language_model(spark, data, known):
         assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def test_gradient_has_every_place(spark):
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(0, lm_scoring.START, n).astype(np.uint16) for n in [*range(1, 9), 700, 20]]
+    texts += [np.arange(30, 40, dtype=np.uint16)] * 3
+    rows = spark.createDataFrame([(t.tobytes(), True) for t in texts] + [(texts[8].tobytes(), False)], "symbols binary, trains boolean").repartition(4)
+    w = lm_scoring.Weights(rng.normal(0, 0.3, (lm_scoring.CLASS_ROWS, lm_scoring.CLASSES)).astype(np.float32), rng.normal(0, 0.3, (lm_scoring.WORD_ROWS, lm_scoring.WIDE)).astype(np.float32))
+    expected = [np.zeros_like(w.classes), np.zeros_like(w.words)]
+    for symbols in texts:
+        one, two = lm_scoring.contexts(symbols, np.array([0, len(symbols)]))
+        cls, _ = lm_scoring.split_symbols(symbols)
+        head = symbols < lm_scoring.HEAD
+        for table, weights, features in ((expected[0], w.classes, lm_scoring.class_features(one, two)), (expected[1], w.words, lm_scoring.word_features(one[head], two[head], cls[head]))):
+            if len(features[1]):
+                p = w.soft(weights, features)
+                for f in features:
+                    np.add.at(table, np.broadcast_to(f, len(p)), p)
+    got, seen = lm_scoring.expected(lm_scoring.context_counts(rows), w), lm_scoring.observed(rows)
+    assert all(np.allclose(g, e, atol=1e-3) for g, e in zip(got, expected, strict=True))
+    assert seen[0][lm_scoring._BIAS].sum() == sum(map(len, texts)) == round(float(got[0][lm_scoring._BIAS].sum()))
+
+
 def test_language_model_of_nothing(docs_of):
     assert lm_scoring.score(docs_of([]).filter("doc_id < 0")).count() == 0
     assert lm_scoring.score(docs_of([(10, "held out only")]).filter("doc_id > 0")).count() == 1
