@@ -5,7 +5,10 @@ ignores the others, so that a substituted word under an ignored position does no
 on the hash of what a mask sees.  A Bloom filter of the items' hashes, of a bounded size, keeps most positions of clean documents from the
 join; it loses none of the hits.  Each hit proposes an alignment of an item with a document; around it the words are compared
 one by one, and the document is contaminated if a window of ``window`` item words (all of a shorter item) has at least
-``same`` of its words in place.  Items with fewer words than a mask covers must stand in the document as they are.
+``same`` of its words in place.
+
+Items shorter than a window are cut into one piece more than they may have words out of place, so one piece at least stands
+unchanged in any passage that contains them: they are found by runs of words as long as a piece, and none is missed.
 
 Words are runs of letters and digits, with A-Z lower-cased, so case, punctuation and spacing make no difference.
 
@@ -28,12 +31,24 @@ from citeweave.llm import wordhash
 from citeweave.llm.common import bounded, documents, is_small, keep_rows, row_hash, saved, with_uid
 
 _U64 = np.uint64
-#: 1: a position that the mask looks at.
-MASKS = ("11101011", "1101100111", "110010110101")
+#: 1: a position that the mask looks at.  Together they meet every window of 13 words that has up to two substituted.
+MASKS = ("11101011", "1101100111", "110010110101", "1001111111")
 #: The filter takes so many bits a hash, and never more than so many in all (64 MB); a fuller filter only lets more through to the join.
 _BITS_EACH, _BITS_MOST = 512, 1 << 29
 
 
+def allowed(n: int, window: int, same: float) -> int:
+    """How many words of an item of ``n`` may be out of place."""
+    size = min(window, n)
+    return sum(size - k >= same * size for k in range(1, size))
+
+
+def pieces(n: int, window: int, same: float) -> list[tuple[int, int]]:
+    """(place, length) of the pieces of an item of ``n`` words, shorter than a window."""
+    edges = [n * k // (allowed(n, window, same) + 1) for k in range(allowed(n, window, same) + 2)]
+    return [(a, b - a) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
 def seeds(words: np.ndarray, firsts: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray]:
     """Hash of what the mask sees at each place where it fits into a document, and those places in ``words``."""
     n = len(words) - len(mask) + 1
@@ -60,17 +75,21 @@ def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([own.column("item"), own.column("item_id"), lists], ["item", "item_id", "words"])
 
 
-def _item_seeds(masks: tuple[str, ...]):
-    least = min(map(len, masks))
-
+def _item_seeds(masks: tuple[str, ...], window: int, same: float):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = [np.zeros((0, 3), np.int64)]
             for item, words in zip(frame["item"], frame["words"], strict=True):
                 words = np.asarray(words, np.int64).view(_U64)
-                for mask in masks if len(words) >= least else ("1" * len(words),) if len(words) else ():
-                    h, at = seeds(words, np.array([0, len(words)]), mask)
-                    out.append(np.column_stack([h.view(np.int64), np.full(len(h), item), at]))
+                n = len(words)
+                if n >= window:
+                    for mask in masks:
+                        h, at = seeds(words, np.array([0, n]), mask)
+                        out.append(np.column_stack([h.view(np.int64), np.full(len(h), item), at]))
+                elif n:
+                    for place, size in pieces(n, window, same):
+                        h, at = seeds(words[place : place + size], np.array([0, size]), "1" * size)
+                        out.append(np.column_stack([h.view(np.int64), np.full(len(h), item), at + place]))
             yield pd.DataFrame(np.concatenate(out), columns=["h", "item", "q"])
 
     return run
@@ -129,7 +148,7 @@ def best_window(doc: np.ndarray, item: np.ndarray, shift: int, window: int) -> t
 _FOUND = "uid long, doc_id long, item_id long, start long, n_words int, n_same int"
 
 
-def _verify(window: int, same: float, least: int):
+def _verify(window: int, same: float):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
@@ -141,7 +160,7 @@ def _verify(window: int, same: float, least: int):
                     item = np.asarray(ask["words"], np.int64).view(_U64)
                     size = min(window, len(item))
                     n, at = best_window(doc, item, int(ask["shift"]), window)
-                    if n >= (size if len(item) < least else same * size) and n > best.get(ask["item"], (0,))[0]:
+                    if n >= same * size and n > best.get(ask["item"], (0,))[0]:
                         best[ask["item"]] = (n, size, int(ask["shift"]) + at, ask["item_id"])
                 out += [(uid, doc_id, i, start, size, n) for n, size, start, i in best.values()]
             made = pd.DataFrame(out, columns=["uid", "doc_id", "item_id", "start", "n_words", "n_same"])
@@ -153,22 +172,22 @@ def _verify(window: int, same: float, least: int):
 def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, window: int = 13, same: float = 0.8, uid: Column | None = None) -> DataFrame:
     """A row for each document and benchmark item that it contains: uid, doc_id, item_id, start (word), n_words, n_same of the best window."""
     spark = docs.sparkSession
-    least = min(map(len, masks))
     items = benchmark.select(F.monotonically_increasing_id().alias("item"), F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     items = saved(items.mapInArrow(_item_words, "item long, item_id long, words array<long>"), "items")
-    index = saved(items.select("item", "words").mapInPandas(_item_seeds(masks), "h long, item long, q long"), "item-seeds")
-    short = items.select(F.size("words").alias("n")).filter(f"n > 0 and n < {least}").distinct().collect()  # lengths under that of a mask
+    index = saved(items.select("item", "words").mapInPandas(_item_seeds(masks, window, same), "h long, item long, q long"), "item-seeds")
+    short = items.select(F.size("words").alias("n")).filter(f"n > 0 and n < {window}").distinct().collect()  # lengths under that of a window
+    runs = sorted({size for r in short for _, size in pieces(r["n"], window, same)})
     known = spark.sparkContext.broadcast(_filter_of(index))
 
     base = bounded(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    hits = base.mapInArrow(_hits([*masks, *("1" * r["n"] for r in short)], known), "doc_id long, h long, p long")
+    hits = base.mapInArrow(_hits([*masks, *("1" * n for n in runs)], known), "doc_id long, h long, p long")
     shifts = hits.join(index, "h").select("doc_id", "item", (F.col("p") - F.col("q")).alias("shift")).distinct()
     asked = shifts.join(items, "item").groupBy("doc_id").agg(F.collect_list(F.struct("item", "item_id", "shift", "words")).alias("asked"))
     asked = saved(asked.withColumnRenamed("doc_id", "asked_id"), "alignments")
     ids = asked.select("asked_id")
     near = with_uid(docs.select("doc_id", "text"), uid).join(F.broadcast(ids) if is_small(ids) else ids, F.col("doc_id").eqNullSafe(F.col("asked_id")), "left_semi")
     near = near.join(asked, F.col("doc_id").eqNullSafe(F.col("asked_id"))).select("uid", "doc_id", "text", "asked")
-    return near.mapInPandas(_verify(window, same, least), _FOUND)
+    return near.mapInPandas(_verify(window, same), _FOUND)
 
 
 def _filter_of(index: DataFrame, parts: int = 8) -> Filter:

@@ -1,5 +1,6 @@
 """Spaced-seed decontamination against planted passages and brute force."""
 
+import itertools
 import random
 import re
 
@@ -63,6 +64,23 @@ def test_planted(docs_of, bench):
     assert found > 15 and missed <= 1
 
 
+def test_every_pattern_in_short_items(docs_of, bench):
+    items, docs, expected = [], [], set()
+    for n in range(1, 14):
+        item = [f"i{n}w{k}" for k in range(n)]
+        items.append((n, " ".join(item)))
+        for gone in range(n):
+            for k, places in enumerate(itertools.combinations(range(n), gone)) if gone < 4 else ():
+                text = " ".join(["before", *("sub" if p in places else w for p, w in enumerate(item)), "after"])
+                d = n * 10_000 + gone * 1_000 + k
+                docs.append((d, text))
+                if n - gone >= 0.8 * n:
+                    expected.add((d, n, n - gone))
+    got = {(r["doc_id"], r["item_id"], r["n_same"]) for r in decontamination.contaminated(docs_of(docs), bench(items)).collect()}
+    assert got - expected == set()
+    assert expected - got == set()
+
+
 def test_nothing(docs_of, bench):
     none = docs_of([]).filter("doc_id < 0")
     assert decontamination.contaminated(none, bench([(0, "a b c d")])).count() == 0
