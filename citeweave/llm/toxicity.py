@@ -5,8 +5,8 @@ slide over the words, each filter's maximum over the whole text is kept, and a l
 One dimension of each embedding starts as the log-odds of its bucket in the sample, the rest at random; then all are
 trained with Adam.  Only the window that holds a filter's maximum gets a gradient, which keeps training cheap.
 
-``thresholds`` are calibrated by language on a part of the sample that training did not see: for each language the cut with the best F1, or the
-common one where a language has too few labelled documents.  The score itself knows no language.
+``thresholds`` are calibrated by language on all labelled training documents that fitting did not see, from counts of scores, each
+label weighted to its share in the language: the cut with the best F1, or the common one where a language has under 20 of a label there.  The score itself knows no language.
 
 Cases.  A null or empty text has maxima of zero and a score.  If the sample lacks one of the labels, all scores are the other's: 0
 without toxic documents.  Repeated rows and null ids are scored each.  An empty table gives an empty result.  Further
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from citeweave.llm import wordhash
 from citeweave.llm.common import bounded, documents
-from citeweave.llm.labelled import held_out, labelled_sample
+from citeweave.llm.labelled import held_out, labelled_sample, training_labels
 
 BUCKETS = 1 << 14
 DIM, FILTERS, WIDTHS = 8, 8, (1, 2, 3)
@@ -177,13 +177,45 @@ class Model:
     thresholds: dict  # language to cut; None: common
 
 
-def best_cut(score: np.ndarray, label: np.ndarray) -> float:
-    """The cut with the best F1; halfway to the next lower score."""
-    order = np.argsort(-score, kind="stable")
-    hit = np.cumsum(label[order])
-    f1 = 2 * hit / (np.arange(1, len(order) + 1) + max(1, label.sum()))
-    k = int(f1.argmax())
-    return float((score[order[k]] + (score[order[k + 1]] if k + 1 < len(order) else 0.0)) / 2)
+def best_cut(score: np.ndarray, label: np.ndarray, weight: np.ndarray | None = None) -> float:
+    """The cut with the best F1 of rows that count ``weight`` each; halfway to the next lower score."""
+    weight = np.ones(len(score)) if weight is None else weight
+    order = np.lexsort((label, -score))
+    hit, all_, low = np.cumsum((weight * label)[order]), np.cumsum(weight[order]), score[order]
+    last = np.append(low[1:] != low[:-1], True)  # rows of one score go over the cut together
+    k = int(np.where(last, 2 * hit / (all_ + max(hit[-1], 1e-9)), -1).argmax())
+    return float((low[k] + (low[k + 1] if k + 1 < len(low) else 0.0)) / 2)
+
+
+#: Scores are counted by steps of so much in the log-odds.
+_STEP = 1 / 64
+
+
+def calibrated(scored: DataFrame, known: DataFrame, fitted: list[int], common: float = 0.3, least: int = 20) -> dict:
+    """Cuts by language from ``scored`` (doc_id, lang, score) and ``known`` (doc_id, label), but for ids in ``fitted``, which count only for shares."""
+    spark = scored.sparkSession
+    used = spark.createDataFrame([(int(i), True) for i in fitted], "doc_id long, used boolean")
+    rows = scored.join(known, "doc_id").dropDuplicates(["doc_id"]).join(F.broadcast(used), "doc_id", "left")
+    grade = F.when(F.col("used").isNull(), F.floor(F.log(F.col("score") / (1 - F.col("score"))) / _STEP))
+    table = rows.groupBy("lang", "label", grade.alias("g")).agg(F.count(F.lit(1)).alias("n"), F.avg("score").alias("score")).toPandas()
+
+    def cut(part) -> tuple[int, float]:
+        free = part[part["g"].notna()]
+        number = [int(free["n"][free["label"] == k].sum()) for k in (0, 1)]
+        if not min(number):
+            return 0, common
+        weight = free["n"].to_numpy(float)
+        for k in (0, 1):
+            weight[free["label"] == k] *= part["n"][part["label"] == k].sum() / number[k]
+        middle = 1 / (1 + np.exp(-(free["g"].to_numpy(float) + 0.5) * _STEP))
+        return min(number), best_cut(middle, free["label"].to_numpy(int), weight)
+
+    cuts = {None: cut(table)[1]}
+    for name, part in table.groupby("lang"):
+        number, value = cut(part)
+        if number >= least:
+            cuts[name] = value
+    return cuts
 
 
 def _bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,7 +228,7 @@ def _bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000, calibrate: float = 0.25) -> Model:
-    """Fits on up to ``per_class`` documents of each label; of these, the part ``calibrate`` sets thresholds only."""
+    """Fits on up to ``per_class`` documents of each label; of these, the part ``calibrate`` sets thresholds only, as all other labelled documents do."""
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string").alias("lang")
     sample = labelled_sample(bounded(docs).select("doc_id", "text", lang), labels, "toxic", per_class, ("lang",))
     sample = sample.mapInArrow(_bucket_rows, "doc_id long, label int, lang string, words binary").dropDuplicates(["doc_id"])
@@ -206,16 +238,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000, calibrate:
     label = rows["label"].to_numpy(int)
     n = int(len(words) * calibrate)
     network = fit(words[n:], label[n:], float(share or 0.0))
-    thresholds: dict = {None: 0.3}
-    if n:
-        score = np.array([network.score(w, np.array([0, len(w)]))[0] for w in words[:n]])
-        if 0 < label[:n].sum() < n:
-            thresholds[None] = best_cut(score, label[:n])
-        for name in set(rows["lang"][:n].dropna()):
-            at = (rows["lang"][:n] == name).to_numpy()
-            if label[:n][at].sum() >= 20 and (1 - label[:n][at]).sum() >= 20:
-                thresholds[name] = best_cut(score[at], label[:n][at])
-    return Model(network, thresholds)
+    ids = docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "text", lang)
+    scored = score(ids, Model(network, {None: 0.3})).select("doc_id", "lang", "score")
+    return Model(network, calibrated(scored, training_labels(labels, "toxic"), rows["doc_id"][n:].tolist()))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -75,6 +75,24 @@ def test_classifiers_without_one_label(spark, data, docs_of):
     assert quality.score(empty, model).count() == 0 == toxicity.score(empty, toxicity.train(docs, none)).count()
 
 
+def test_thresholds_of_a_rare_language(spark):
+    docs, labels = corpus(900, seed=4)
+    ids = [d for d, *_ in labels if zlib.crc32(str(d).encode()) % 4 != 2]
+    toxic = {d: t for d, _, t, _ in labels}
+    rare = set([d for d in ids if toxic[d]][:40] + [d for d in ids if not toxic[d]][:40])
+    rows = spark.createDataFrame([(d, t, "xx" if d in rare else "en") for d, t in docs], "doc_id long, text string, lang string")
+    model = toxicity.train(rows, spark.createDataFrame(labels, "doc_id long, quality int, toxic int, lang string"), per_class=30)
+    assert {None, "en", "xx"} == set(model.thresholds)
+
+
+def test_cut_at_true_shares(spark):
+    # Ids 0 to 9 were fitted on: 10 clean ones.  With them counted, clean rows weigh 1.5 each.
+    scores = [(d, "en", 0.1) for d in range(10)] + [(d, "en", 0.4) for d in range(10, 30)] + [(d, "en", 0.6) for d in range(30, 50)]
+    known = [(d, int(d >= 30 or d in (10, 11))) for d in range(50)]
+    cuts = toxicity.calibrated(spark.createDataFrame(scores, "doc_id long, lang string, score double"), spark.createDataFrame(known, "doc_id long, label int"), list(range(10)), least=10)
+    assert set(cuts) == {None, "en"} and all(0.4 < c < 0.6 for c in cuts.values())
+
+
 def words(text):
     return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) + [None]
 
