@@ -6,8 +6,8 @@ joined with the counts by key.
 
 Model.  The ``HEAD`` most frequent tokens are dealt into classes of ``WIDE`` words each, every other token belongs to a
 tail class by its last two bytes.  P(token | history) = P(class | history) * P(token | class, history).  Both factors
-are softmaxes whose scores sum weights of hashed features: a bias, the previous token, the one before it (a skip feature), and both as a
-bigram.  Inside a tail class tokens have their smoothed share of the class's counts.  So the model's
+are softmaxes whose scores sum weights of hashed features: a bias, the previous token, the one before it (a skip feature), and, in
+P(class | history) alone, both as a bigram.  Inside a tail class tokens have their smoothed share of the class's counts.  So the model's
 probabilities sum to one just as the base's do.
 
 Training.  Weights start from counts of feature and outcome over all training tokens.  Then gradient updates: executors sum
