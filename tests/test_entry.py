@@ -38,10 +38,14 @@ def test_entry(spark):
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
-def test_import_without_optional_part(tmp_path):
-    """A copy without the optional folders imports and has the engine's queries."""
+@pytest.mark.parametrize("with_pipeline", [True, False])
+def test_import_without_optional_part(tmp_path, with_pipeline):
+    """A copy without the optional folders imports and has the engine's queries, whether or not the pipeline's module is left."""
     root = Path(__spark_entry__.__file__).parent
     shutil.copytree(root / "citeweave", tmp_path / "citeweave", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     shutil.copy(root / "__spark_entry__.py", tmp_path)
-    code = "import __spark_entry__ as e; assert set(e.queries()) == set(__import__('citeweave.plans.registry').plans.registry.queries())"
-    subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, check=True)
+    if with_pipeline and (root / "corpus_pipeline.py").exists():
+        shutil.copy(root / "corpus_pipeline.py", tmp_path)
+    # Nothing but the copy may be found, whatever the environment's path is.
+    code = f"import sys; sys.path.insert(0, {str(tmp_path)!r}); import __spark_entry__ as e; from citeweave.plans import registry; assert set(e.queries()) == set(registry.queries()) and e.oracle_sql(); assert {str(tmp_path)!r} in registry.__file__"
+    subprocess.run([sys.executable, "-B", "-I", "-c", code], cwd=tmp_path, check=True)
