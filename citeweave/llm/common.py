@@ -95,21 +95,41 @@ def is_small(df: DataFrame, rows: int = 1_000_000) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def fresh(docs: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as make it differ from all columns of ``docs``; letters' case makes no difference."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def by_row(docs: DataFrame, picked: DataFrame, how: str) -> DataFrame:
-    """``docs`` joined with ``picked`` (doc_id, uid = row_hash, more) by row; ``picked`` is broadcast while small, else both are shuffled."""
-    side = picked.withColumnsRenamed({"doc_id": "_id", "uid": "_uid"})
-    on = (row_hash() == F.col("_uid")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    """``docs`` joined with ``picked`` (doc_id, uid = row_hash, more) by row; ``picked`` is broadcast while small, else both are shuffled.
+
+    ``docs`` may have columns of any names, but for those that ``picked`` adds.
+    """
+    own_id, own_uid = fresh(docs, "picked_id"), fresh(docs, "picked_uid")
+    side = picked.withColumnsRenamed({"doc_id": own_id, "uid": own_uid})
+    on = (row_hash() == F.col(own_uid)) & F.col("doc_id").eqNullSafe(F.col(own_id))
     joined = docs.join(F.broadcast(side) if is_small(picked) else side, on, how)
-    return joined.drop("_id", "_uid")
+    return joined.drop(own_id, own_uid)
+
+
+def one_of_equals(docs: DataFrame) -> DataFrame:
+    """``docs`` with one of each run of rows that share id and text."""
+    row = fresh(docs, "row")
+    return docs.withColumn(row, row_hash()).dropDuplicates([row, "doc_id"]).drop(row)
 
 
 def keep_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """``docs`` as ``decided`` says (doc_id, uid = row_hash, kept, once): rows that are not kept go, and of equal rows with ``once`` one stays."""
+    """``docs`` as ``decided`` says (doc_id, uid = row_hash, kept, once): rows that are not kept go, and of equal rows with ``once`` one stays.
+
+    The rows that go, and those that repeat, are broadcast up to a million; beyond that ``docs`` is shuffled with its texts.
+    """
     decided = saved(decided.select("doc_id", "uid", "kept", "once"), "decided")
     gone = decided.filter("not kept").select("doc_id", "uid").distinct()
     left = by_row(docs, gone, "left_anti")
     again = decided.filter("kept and once").groupBy("doc_id", "uid").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id", "uid")
     if again.isEmpty():
         return left
-    one = by_row(left, again, "left_semi").withColumn("_uid", row_hash()).dropDuplicates(["_uid", "doc_id"]).drop("_uid")
-    return by_row(left, again, "left_anti").unionByName(one)
+    return by_row(left, again, "left_anti").unionByName(one_of_equals(by_row(left, again, "left_semi")))

@@ -2,10 +2,12 @@
 
 Plan.  One scan gives each row its normalised length and a hash of its first characters.  Lengths that occur once
 leave first, then pairs of length and prefix hash that occur once; only rows of the groups that are left have their
-full content hashed.  All that is shuffled is a few dozen bytes a row, texts never are.  DataFrame functions only.
+full content hashed.  While texts are scanned again, those rows are told by a filter of the groups' hashes, a table of
+``WORDS`` numbers of 64 bits at most, whatever the number of groups; it passes every row of a group that is left, and a few more,
+which full hashes then part.  All that is shuffled is a few dozen bytes a row, texts never are.  DataFrame functions only.
 
-Cases.  A null text counts as empty, and empty texts are equal to one another.  A null ``doc_id`` comes after all
-others.  Of repeated rows with one id and one text exactly one stays.  An empty table gives an empty result.
+Cases.  A null text counts as empty, and empty texts are equal to one another.  A very long text is hashed whole.  A null ``doc_id`` comes after all
+others; of equal texts with the least id the first row read stays, a tie between rows that don't differ.  Of repeated rows with one id and one text exactly one stays.  An empty table gives an empty result.
 Further columns of ``docs`` are not read and may have any names.
 """
 
@@ -18,6 +20,8 @@ from citeweave.llm.common import attach_groups, documents, keep_rows, row_hash,
 
 #: Runs of white space other than a lone space; the rest is in normal form as it stands.
 _RUN = r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]"
+#: Most rows of the filter of groups, each with 64 bits of it: what is broadcast has this bound.
+WORDS = 1 << 20
 
 
 def normalised(text: Column) -> Column:
@@ -25,13 +29,21 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), _RUN, " ")
 
 
-def exact_dedup(docs: DataFrame, prefix_chars: int = 64, digests: bool = False, broadcast_groups: int = 1_000_000, uid: Column | None = None) -> DataFrame:
+def group_filter(groups: DataFrame, words: int = WORDS) -> DataFrame:
+    """(word, bits): a set of bits, one for each hash ``g`` of ``groups``; it has ``words`` rows at most."""
+    word, bit = _slot(F.col("g"), words)
+    return groups.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
+
+
+def _slot(g: Column, words: int) -> tuple[Column, Column]:
+    return F.pmod(F.shiftright(g, 6), F.lit(words)), F.pmod(g, F.lit(64)).cast("int")
+
+
+def exact_dedup(docs: DataFrame, prefix_chars: int = 64, digests: bool = False, uid: Column | None = None, words: int = WORDS) -> DataFrame:
     """Per row of ``docs``: uid, doc_id, keep_id, group_size, kept, and sha256 (binary).
 
-    ``digests``: give every row its digest.  Without it only rows of groups that survive the length and the prefix
-    stage have their whole text hashed, and sha256 is null elsewhere.  Surviving groups are broadcast up to
-    ``broadcast_groups`` (20 bytes each); beyond that every row is hashed during the scan, so that texts still stay
-    where they are.
+    ``digests``: give every row its digest.  Without it only rows that survive the length and the prefix stage have
+    their whole text hashed, and sha256 is null elsewhere.
     """
     norm = with_uid(docs.select("doc_id", "text"), uid).select("uid", "doc_id", normalised(F.col("text")).alias("_norm"))
     ladder = [F.length("_norm").alias("n_norm"), F.xxhash64(F.substring("_norm", 1, prefix_chars)).alias("prefix_hash")]
@@ -48,11 +60,12 @@ def exact_dedup(docs: DataFrame, prefix_chars: int = 64, digests: bool = False,
         rows = attach_groups(keys.withColumn("_k", F.struct("n_norm", "prefix_hash")), alive.select(F.struct("n_norm", "prefix_hash").alias("_k"), "n"), "_k", "n", total)
         rows = rows.select("uid", "doc_id", "sha256", F.col("n").isNotNull().alias("alive"))
     else:
-        if alive.count() <= broadcast_groups:
-            rows = norm.select("uid", "doc_id", "_norm", *ladder).join(F.broadcast(alive), ["n_norm", "prefix_hash"], "left")
-            rows = rows.select("uid", "doc_id", F.when(F.col("n").isNotNull(), full).alias("sha256"))
-        else:
-            rows = norm.select("uid", "doc_id", full.alias("sha256"))
+        g = F.xxhash64("n_norm", "prefix_hash")
+        known = saved(group_filter(alive.select(g.alias("g")), words), "dedup-filter")
+        word, bit = _slot(g, words)
+        rows = norm.select("uid", "doc_id", "_norm", *ladder).withColumn("word", word).join(F.broadcast(known), "word", "left")
+        asked = F.coalesce(F.getbit(F.col("bits"), bit) == 1, F.lit(False))
+        rows = rows.select("uid", "doc_id", F.when(asked, full).alias("sha256"))
         rows = saved(rows, "dedup-rows").withColumn("alive", F.col("sha256").isNotNull())
         total = rows.count()
 

@@ -6,12 +6,16 @@ above.  The sources' table stays distributed; only sums of it reach the driver.
 
 Copies.  Each document of a source has the same fractional number of copies, target / source size.  The integral part
 is taken; the fraction is rounded by duels: of two documents, words are moved at random from one to the other so that
-expectation and total stay, until one of them is whole.  Blocks of a fixed number of documents are rounded side by side and leave one
+expectation and total stay, until one of them is whole.  The rows of a source are numbered by hash of id and text, over ranges of
+a distributed sort; each run of ``block`` numbers is a block.  Blocks are rounded side by side and leave one
 fraction each; those meet in a reduction tree with ``fan`` children a node.  So a source's words differ from its
-target by less than one document.  Blocks and draws come from hashes of the id and the size, hence reruns agree.
+target by less than one document.  Numbers and draws come from hashes and places in that order, hence reruns agree, up to
+which one of equal rows is which.
 
-Cases.  A null or empty text has size 0 and gives 0 words.  Null is a source like any other.  Rows that repeat an id are
-mixed as rows of their own.  An empty table gives an empty result.  Further columns may have any names.
+Cases.  A null or empty text has size 0 and gives 0 words.  A very long text is one document like others; a source's words may miss its
+target by as much as it holds.  Null is a source like any other.  Rows that repeat an id, null ids too, are
+mixed as rows of their own, and blocks have no more of them than of others.  An empty table gives an empty result.  Further columns may have any names; if
+one is called ``copy``, the mixture's own column has underscores behind its name.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from citeweave.llm.common import WORD, by_row, documents, row_hash, saved, with_uid
+from citeweave.llm.common import WORD, by_row, documents, fresh, is_small, one_of_equals, row_hash, saved, with_uid
 
 WEIGHTS = (3.0, 1.0, 2.0)
 
@@ -87,33 +91,47 @@ def _duels(sizes: np.ndarray, parts: np.ndarray, draws: np.ndarray) -> tuple[np.
 
 
 def _round_block(block: pd.DataFrame) -> pd.DataFrame:
-    block = block.sort_values(["draw", "size", "uid"], kind="stable")
+    block = block.sort_values("at", kind="stable")
     block["part"], left = _duels(block["size"].to_numpy(float), block["part"].to_numpy(float), block["unit"].to_numpy(float))
     block["open"] = np.arange(len(block)) == left
     return block
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` (uid, source, draw, and more) with ``at``, the place from 0 on within the source by draw.
+
+    Ranges of the order are sorted side by side; a row's place is that within its range plus the sizes of the ranges before
+    it.  Equal draws are parted by uid, so a range has no more of them than of others.
+    """
+    order = [F.col("source").asc_nulls_last(), F.col("draw"), F.col("uid")]
+    ranged = saved(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("m", F.monotonically_increasing_id()), "mix-ranges")
+    part = F.shiftright("m", 33)
+    sizes = ranged.groupBy("source", part.alias("part")).agg(F.min("m").alias("low"), F.count(F.lit(1)).alias("n"))  # a row for each source and range at most
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = saved(sizes.select(F.col("source").alias("s_source"), F.col("part").alias("s_part"), (before - F.col("low")).alias("start")), "mix-starts")
+    on = (part == F.col("s_part")) & F.col("source").eqNullSafe(F.col("s_source"))
+    return ranged.join(F.broadcast(starts) if is_small(starts) else starts, on).withColumn("at", F.col("m") + F.col("start")).drop("m", "s_source", "s_part", "start")
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, max_copies: float = 2.0, block: int = 2048, fan: int = 256, seed: int = 17) -> DataFrame:
     """Per row of ``docs``: uid, row (its hash), doc_id, source, size, source_size, target, copies (int) and taken = size * copies."""
-    draw = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("size"))
     sizes = with_uid(docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), row_hash().alias("row")))
-    sizes = saved(sizes.withColumn("draw", draw), "mix-sizes")
+    sizes = saved(sizes, "mix-sizes")
     targets = saved(source_targets(sizes, weights, share, max_copies), "mix-targets")
     known = sizes.join(_spread(targets), F.col("source").eqNullSafe(F.col("t_source")), "left")
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(copies + 1e-9)
-    # Documents without words need no duel.
-    part = F.when(F.col("size") == 0, F.lit(0.0)).otherwise(F.greatest(copies - whole, F.lit(0.0)))
-    blocks = F.greatest(F.ceil(F.col("n_docs") / block), F.lit(1))
-    rows = known.select("uid", "row", "doc_id", "source", "size", "draw", "source_size", "target", whole.cast("int").alias("whole"), part.alias("part"), F.pmod(F.shiftright("draw", 8), blocks).alias("node"), F.col("n_docs"))
-
-    unit = F.pmod(F.xxhash64(F.lit(seed + 1), "draw"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    shape = "uid long, source string, size long, draw long, node long, part double, unit double, open boolean"
-    level = rows.select("uid", "source", "size", "draw", "node", "part", unit.alias("unit"), F.lit(False).alias("open"))
-    most = targets.agg(F.max("n_docs")).first()[0] or 0
+    part = F.greatest(copies - whole, F.lit(0.0))
+    rows = known.select("uid", "row", "doc_id", "source", "size", "source_size", "target", whole.cast("int").alias("whole"), part.alias("part"))
+
+    # Only rows with a fraction meet in duels; documents without words need none.
+    level = numbered(rows.filter("size > 0 and part > 0").select("uid", "source", "size", "part", F.xxhash64(F.lit(seed), "row").alias("draw")))
+    unit = F.pmod(F.xxhash64(F.lit(seed + 1), "draw", "at"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    shape = "uid long, source string, size long, at long, node long, part double, unit double, open boolean"
+    level = level.select("uid", "source", "size", "at", F.floor(F.col("at") / block).cast("long").alias("node"), "part", unit.alias("unit"), F.lit(False).alias("open"))
     level = saved(level.groupBy("source", "node").applyInPandas(_round_block, shape), "mix-blocks")
     done = [level.filter("not open").select("uid", "part")]
-    nodes = math.ceil(most / block)
+    nodes = (level.agg(F.max("node")).first()[0] or 0) + 1
     while nodes > 1:
         level = level.filter("open").withColumn("node", F.floor(F.col("node") / fan).cast("long"))
         level = saved(level.groupBy("source", "node").applyInPandas(_round_block, shape), "mix-tree")
@@ -124,8 +142,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.
     rounded = done[0]
     for more in done[1:]:
         rounded = rounded.unionByName(more)
-    out = rows.drop("part").join(rounded, "uid")
-    copies = (F.col("whole") + F.round("part")).cast("int")
+    out = rows.drop("part").join(rounded, "uid", "left")
+    copies = (F.col("whole") + F.coalesce(F.round("part"), F.lit(0.0))).cast("int")
     return out.select("uid", "row", "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).cast("long").alias("taken"))
 
 
@@ -136,15 +154,19 @@ def _spread(targets: DataFrame, broadcast_rows: int = 200_000) -> DataFrame:
     return F.broadcast(side) if targets.limit(broadcast_rows + 1).count() <= broadcast_rows else side
 
 
-def mixture(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as the mix takes it, with ``copy`` from 1 on."""
-    taken = saved(mix(docs, **options).filter("copies > 0").groupBy("doc_id", F.col("row").alias("uid")).agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_n")), "mix-taken")
-    rows = by_row(docs, taken.filter("_n = 1").drop("_n"), "inner")
-    more = taken.filter("_n > 1")
-    if not more.isEmpty():  # equal rows: their copies are dealt out again, which row has how many makes no difference
-        one = by_row(docs, more.drop("_n"), "inner").withColumn("_row", row_hash()).dropDuplicates(["_row", "doc_id"]).drop("_row")
-        rows = rows.unionByName(one)
-    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).drop("_copies")
+def mixture(docs: DataFrame, copy: str = "copy", **options) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as the mix takes it, with a column ``copy`` from 1 on.
+
+    Equal rows share their copies: which of them has how many makes no difference.
+    """
+    n = fresh(docs, "n_copies")
+    each = mix(docs, **options).groupBy("doc_id", F.col("row").alias("uid")).agg(F.sum("copies").alias(n), F.count(F.lit(1)).alias("n_rows"))
+    taken = saved(each.filter(F.col(n) > 0), "mix-taken")
+    rows = by_row(docs, taken.filter("n_rows = 1").drop("n_rows"), "inner")
+    more = taken.filter("n_rows > 1").drop("n_rows")
+    if not more.isEmpty():
+        rows = rows.unionByName(one_of_equals(by_row(docs, more, "inner")))
+    return rows.withColumn(fresh(docs, copy), F.explode(F.sequence(F.lit(1), F.col(n).cast("int")))).drop(n)
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

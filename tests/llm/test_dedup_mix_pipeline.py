@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from citeweave.llm import decontamination, exact_dedup, jaccard_join, mixing, queries
@@ -35,7 +36,7 @@ def test_exact_dedup(docs_of, spark, tmp_path):
 
 def test_exact_dedup_by_either_way(docs_of):
     docs = docs_of(ROWS)
-    ways = [exact_dedup.exact_dedup(docs), exact_dedup.exact_dedup(docs, broadcast_groups=0), exact_dedup.exact_dedup(docs, digests=True)]
+    ways = [exact_dedup.exact_dedup(docs), exact_dedup.exact_dedup(docs, words=1), exact_dedup.exact_dedup(docs, words=4), exact_dedup.exact_dedup(docs, digests=True)]
     assert len({tuple(sorted(((r["doc_id"], r["keep_id"], r["group_size"]) for r in w.collect()), key=str)) for w in ways}) == 1
     left = exact_dedup.deduplicated(docs)
     assert left.columns == docs.columns and Counter(norm(r["text"]) for r in left.collect()) == Counter({norm(t): 1 for _, t in ROWS})
@@ -87,7 +88,7 @@ def test_mixing(docs_of, options):
     key = lambda rs: Counter((r["doc_id"], r["size"], r["taken"]) for r in rs)
     assert key(got) == key(again)
     mixed = mixing.mixture(docs, **options)
-    assert mixed.columns == [*docs.columns, "copy"]
+    assert mixed.columns == [*docs.columns, "copy_"]
     assert Counter(r["doc_id"] for r in mixed.collect()) == Counter({d: n for d, n in sum((Counter({r["doc_id"]: r["copies"]}) for r in got), Counter()).items() if n})
 
 
@@ -97,6 +98,26 @@ def test_mixing_of_nothing(docs_of):
     assert [r["taken"] for r in mixing.mix(docs_of([(1, None), (2, "")])).collect()] == [0, 0]
 
 
+def test_equal_rows_share_copies(docs_of, spark):
+    rows = [(None, "same three words")] * 7 + [(1, "a b c d"), (2, "e f")] + [(3, "x y z")] * 2
+    docs = docs_of(rows)
+    for seed in range(4):
+        got = Counter()
+        for r in mixing.mix(docs, seed=seed).collect():
+            got[r["doc_id"]] += r["copies"]
+        mixed = Counter(r["doc_id"] for r in mixing.mixture(docs, seed=seed).collect())
+        assert mixed == +got and abs(sum(r["taken"] for r in mixing.mix(docs, seed=seed).collect()) - 1.5 * 33) <= 4
+
+
+def test_blocks_of_many_null_ids(spark):
+    """Null ids of one size and one text are dealt out by place: no block has more than its share."""
+    docs = spark.range(50_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("two words").alias("text"), F.lit("s").alias("source"))
+    rows = docs.select(F.monotonically_increasing_id().alias("uid"), "source", F.xxhash64("text").alias("draw"))
+    at = mixing.numbered(rows)
+    assert at.agg(F.min("at"), F.max("at"), F.count_distinct("at")).first()[:] == (0, 49_999, 50_000)
+    assert abs(mixing.mix(docs).agg(F.sum("taken")).first()[0] - 150_000) <= 2
+
+
 def test_stages_keep_columns_and_odd_rows(docs_of, spark):
     rows = [(1, None), (2, ""), (3, None), (4, "one two three four five six"), (5, "One two  three four five six"), (None, "one two three four five six"), (4, "one two three four five six"), (6, "alone here")]
     docs = docs_of(rows)
