@@ -103,16 +103,43 @@ def fresh(docs: DataFrame, name: str) -> str:
     return name
 
 
+#: Most rows of a ``bit_set``, each with 64 of its bits: what is broadcast has this bound.
+WORDS = 1 << 20
+
+
+def bit_set(keys: DataFrame, g: Column, words: int = WORDS) -> DataFrame:
+    """(word, bits): a set of 64 * ``words`` bits with that of each hash ``g`` set, written to the shared folder."""
+    word, bit = _slot(g, words)
+    return saved(keys.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits")), "bits")
+
+
+def _slot(g: Column, words: int) -> tuple[Column, Column]:
+    return F.pmod(F.shiftright(g, 6), F.lit(words)), F.pmod(g, F.lit(64)).cast("int")
+
+
+def with_asked(docs: DataFrame, bits: DataFrame, g: Column, name: str, words: int = WORDS) -> DataFrame:
+    """``docs`` with ``name``: whether the bit of ``g`` is set.  It is for all hashes of the set, and for others more often the fuller the set is."""
+    word, bit = _slot(g, words)
+    own_word, own_bits = fresh(docs, "bit_word"), fresh(docs, "bit_bits")
+    side = F.broadcast(bits.withColumnsRenamed({"word": own_word, "bits": own_bits}))
+    return docs.join(side, word == F.col(own_word), "left").withColumn(name, F.coalesce(F.getbit(F.col(own_bits), bit) == 1, F.lit(False))).drop(own_word, own_bits)
+
+
 def by_row(docs: DataFrame, picked: DataFrame, how: str) -> DataFrame:
-    """``docs`` joined with ``picked`` (doc_id, uid = row_hash, more) by row; ``picked`` is broadcast while small, else both are shuffled.
+    """``docs`` joined with ``picked`` (doc_id, uid = row_hash, more) by row; ``how``: inner, left_semi or left_anti.
 
-    ``docs`` may have columns of any names, but for those that ``picked`` adds.
+    ``picked`` is broadcast while it is small.  Beyond that only rows of ``docs`` whose bit in a ``bit_set`` is set are shuffled,
+    which are those picked and a part of the others.  ``docs`` may have columns of any names, but for those that ``picked`` adds.
     """
     own_id, own_uid = fresh(docs, "picked_id"), fresh(docs, "picked_uid")
     side = picked.withColumnsRenamed({"doc_id": own_id, "uid": own_uid})
     on = (row_hash() == F.col(own_uid)) & F.col("doc_id").eqNullSafe(F.col(own_id))
-    joined = docs.join(F.broadcast(side) if is_small(picked) else side, on, how)
-    return joined.drop(own_id, own_uid)
+    if is_small(picked):
+        return docs.join(F.broadcast(side), on, how).drop(own_id, own_uid)
+    asked = fresh(docs, "bit_asked")
+    marked = with_asked(docs, bit_set(picked, F.col("uid")), row_hash(), asked)
+    joined = marked.filter(asked).join(side, on, how).drop(own_id, own_uid, asked)
+    return joined.unionByName(marked.filter(~F.col(asked)).drop(asked)) if how == "left_anti" else joined
 
 
 def one_of_equals(docs: DataFrame) -> DataFrame:

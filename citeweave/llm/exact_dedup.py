@@ -2,8 +2,8 @@
 
 Plan.  One scan gives each row its normalised length and a hash of its first characters.  Lengths that occur once
 leave first, then pairs of length and prefix hash that occur once; only rows of the groups that are left have their
-full content hashed.  While texts are scanned again, those rows are told by a filter of the groups' hashes, a table of
-``WORDS`` numbers of 64 bits at most, whatever the number of groups; it passes every row of a group that is left, and a few more,
+full content hashed.  While texts are scanned again, those rows are told by a set of bits of the groups' hashes, broadcast as
+``WORDS`` numbers of 64 bits at most, whatever the number of groups; it passes every row of a group that is left, and a part of the others,
 which full hashes then part.  All that is shuffled is a few dozen bytes a row, texts never are.  DataFrame functions only.
 
 Cases.  A null text counts as empty, and empty texts are equal to one another.  A very long text is hashed whole.  A null ``doc_id`` comes after all
@@ -16,12 +16,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm.common import attach_groups, documents, keep_rows, row_hash, saved, with_uid
+from citeweave.llm.common import WORDS, attach_groups, bit_set, documents, keep_rows, row_hash, saved, with_asked, with_uid
 
 #: Runs of white space other than a lone space; the rest is in normal form as it stands.
 _RUN = r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]"
-#: Most rows of the filter of groups, each with 64 bits of it: what is broadcast has this bound.
-WORDS = 1 << 20
 
 
 def normalised(text: Column) -> Column:
@@ -29,16 +27,6 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), _RUN, " ")
 
 
-def group_filter(groups: DataFrame, words: int = WORDS) -> DataFrame:
-    """(word, bits): a set of bits, one for each hash ``g`` of ``groups``; it has ``words`` rows at most."""
-    word, bit = _slot(F.col("g"), words)
-    return groups.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
-
-
-def _slot(g: Column, words: int) -> tuple[Column, Column]:
-    return F.pmod(F.shiftright(g, 6), F.lit(words)), F.pmod(g, F.lit(64)).cast("int")
-
-
 def exact_dedup(docs: DataFrame, prefix_chars: int = 64, digests: bool = False, uid: Column | None = None, words: int = WORDS) -> DataFrame:
     """Per row of ``docs``: uid, doc_id, keep_id, group_size, kept, and sha256 (binary).
 
@@ -61,11 +49,8 @@ def exact_dedup(docs: DataFrame, prefix_chars: int = 64, digests: bool = False,
         rows = rows.select("uid", "doc_id", "sha256", F.col("n").isNotNull().alias("alive"))
     else:
         g = F.xxhash64("n_norm", "prefix_hash")
-        known = saved(group_filter(alive.select(g.alias("g")), words), "dedup-filter")
-        word, bit = _slot(g, words)
-        rows = norm.select("uid", "doc_id", "_norm", *ladder).withColumn("word", word).join(F.broadcast(known), "word", "left")
-        asked = F.coalesce(F.getbit(F.col("bits"), bit) == 1, F.lit(False))
-        rows = rows.select("uid", "doc_id", F.when(asked, full).alias("sha256"))
+        rows = with_asked(norm.select("uid", "doc_id", "_norm", *ladder), bit_set(alive, g, words), g, "asked", words)
+        rows = rows.select("uid", "doc_id", F.when(F.col("asked"), full).alias("sha256"))
         rows = saved(rows, "dedup-rows").withColumn("alive", F.col("sha256").isNotNull())
         total = rows.count()
 

@@ -34,3 +34,15 @@ def test_without_small_sides(spark, docs_of, monkeypatch):
         monkeypatch.setattr(common, "is_small", lambda df, rows=0, s=small: s)
         left = common.keep_rows(docs, decided).collect()
         assert sorted(str(r["text"]) for r in left) == ["None", "b", "c"]
+        picked = decided.filter("kept").select("doc_id", "uid").distinct()
+        assert sorted(str(r["text"]) for r in common.by_row(docs, picked, "left_semi").collect()) == ["b", "b", "c"]
+        assert sorted(str(r["text"]) for r in common.by_row(docs, picked, "left_anti").collect()) == ["None", "a"]
+
+
+def test_a_full_set_of_bits_loses_nothing(spark):
+    keys = spark.range(500).select(F.xxhash64("id").alias("g"))
+    for words in (1, 8, 4096):
+        marked = common.with_asked(spark.range(2000).select("id", F.lit(1).alias("bit_word")), common.bit_set(keys, F.col("g"), words), F.xxhash64("id"), "asked", words)
+        assert marked.filter("asked and id < 500").count() == 500
+        others = marked.filter("asked and id >= 500").count()
+        assert others == 1500 if words == 1 else others < 200 if words == 4096 else True
