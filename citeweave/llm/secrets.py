@@ -3,13 +3,15 @@
 Strong spans stand alone: assignments to a secret's name, access identifiers, long runs of hex digits.  Weak spans
 say little by themselves: service endpoints, and 40-character keys.  Linking joins spans by interval: within a scope
 (``reach`` code points between one span's end and the next one's start, inside one document) a weak candidate is reported if complementary parts
-co-occur.  A key needs an access identifier in its scope.  An endpoint needs an access identifier and a key or
-assignment, both in its scope.
+co-occur.  A key needs an access identifier in its scope.  An endpoint needs an access identifier, and a key, an
+assignment or a run of hex digits, both in its scope.
 
-Spans are found by one scan of regular expressions; a span's end is the running sum of the gaps and matches up to it.  The interval join runs over span rows, not texts.  For each weak span only the nearest part of each kind to either side decides, so running maxima
-and minima over position stand in for pairs: work grows with the spans, not their square.  DataFrame functions only.
+Each kind is found by regular expressions over the whole text; a span's end is the running sum of the gaps and matches up to it.  The interval
+join runs over span rows, not texts.  For each weak span only the nearest part of each kind to either side decides, so running maxima
+and minima over position, forwards and backwards, stand in for pairs: work grows with the spans, not their square.  DataFrame functions only.
 
-Cases.  A null or empty text has no spans; its digest is that of the empty string.  Repeated rows get a result each, null ids
+Cases.  A null or empty text has no spans; its digest is that of the empty string.  A very long text is one row of the scan with all its matches, and its spans are
+sorted as rows, which may spill.  Spans with the same start are in the order of ``KINDS``; a kind has one span at a start.  Repeated rows get a result each, null ids
 too.  Positions are code points, ends exclusive.  An empty table gives an empty result; further columns are ignored.
 """
 
@@ -56,8 +58,9 @@ def scan(docs: DataFrame, reach: int = 200) -> DataFrame:
     rows = found.select("uid", F.inline("pieces"))
     stop = F.sum(F.col("gap") + F.col("len")).over(Window.partitionBy("uid", "kind").orderBy("k")).cast("int")
     rows = rows.withColumn("stop", stop).filter("ok").select("uid", (F.col("stop") - F.col("len")).alias("start"), "kind", "stop")
+    # A frame that grows with each row is updated; one that shrinks would be computed anew for each.
     before = Window.partitionBy("uid").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy("uid").orderBy("start", "kind").rowsBetween(1, Window.unboundedFollowing)
+    after = Window.partitionBy("uid").orderBy(F.desc("start"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
 
     def near(is_part: Column) -> Column:
         left = F.max(F.when(is_part, F.col("stop"))).over(before)
