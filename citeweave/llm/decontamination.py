@@ -12,7 +12,12 @@ unchanged in any passage that contains them: they are found by runs of words as
 
 Words are runs of letters and digits, with A-Z lower-cased, so case, punctuation and spacing make no difference.
 
-Cases.  A null or empty text contains nothing, and an item without words is contained in nothing.  Repeated rows are found
+Rows are told apart by the hash of id and text, so null ids don't meet.  Of a document and an item only the distinct shifts of one to the other are kept,
+8 bytes each and never more than the two have words; words come with an item once.
+
+Cases.  A null or empty text contains nothing, and an item without words is contained in nothing.  A very long text is hashed by windows, and a repetitive one may
+have as many shifts for an item as it has words; they are tried until one fits whole.  Of windows or shifts of one item with equally many words in place
+the one at the smallest shift, then the first, is given.  Repeated rows are found
 each.  Rows with a null id are found like others.  With an empty benchmark or no documents the result is empty.  Further
 columns are ignored.
 """
@@ -127,8 +132,8 @@ def _hits(masks: list[str], known):
                 found = [(h[k], at[k]) for h, at in (seeds(words, firsts, m) for m in masks) for k in [known_.may_have(h)]]
                 h, at = np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
                 row = np.searchsorted(firsts, at, side="right") - 1
-                ids = batch.column("doc_id").slice(begin, end - begin).take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(h.view(np.int64)), pa.array(at - firsts[row])], ["doc_id", "h", "p"])
+                ids = batch.column("row").slice(begin, end - begin).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(h.view(np.int64)), pa.array(at - firsts[row])], ["row", "h", "p"])
 
     return run
 
@@ -155,14 +160,17 @@ def _verify(window: int, same: float):
             for uid, doc_id, text, asked in zip(frame["uid"], frame["doc_id"], frame["text"], frame["asked"], strict=True):
                 raw = np.frombuffer((text or "").encode(), np.uint8)
                 doc, _ = wordhash.word_hashes(raw, np.array([0, len(raw)]), alnum=True)
-                best: dict = {}
                 for ask in asked:
                     item = np.asarray(ask["words"], np.int64).view(_U64)
-                    size = min(window, len(item))
-                    n, at = best_window(doc, item, int(ask["shift"]), window)
-                    if n >= same * size and n > best.get(ask["item"], (0,))[0]:
-                        best[ask["item"]] = (n, size, int(ask["shift"]) + at, ask["item_id"])
-                out += [(uid, doc_id, i, start, size, n) for n, size, start, i in best.values()]
+                    size, best = min(window, len(item)), (0, 0)
+                    for shift in np.sort(np.asarray(ask["shifts"], np.int64)):
+                        n, at = best_window(doc, item, int(shift), window)
+                        if n > best[0]:
+                            best = (n, int(shift) + at)
+                        if n == size:
+                            break
+                    if best[0] >= same * size:
+                        out.append((uid, doc_id, ask["item_id"], best[1], size, best[0]))
             made = pd.DataFrame(out, columns=["uid", "doc_id", "item_id", "start", "n_words", "n_same"])
             yield made.astype({"doc_id": "Int64", "item_id": "Int64"})
 
@@ -179,14 +187,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] =
     runs = sorted({size for r in short for _, size in pieces(r["n"], window, same)})
     known = spark.sparkContext.broadcast(_filter_of(index))
 
-    base = bounded(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    hits = base.mapInArrow(_hits([*masks, *("1" * n for n in runs)], known), "doc_id long, h long, p long")
-    shifts = hits.join(index, "h").select("doc_id", "item", (F.col("p") - F.col("q")).alias("shift")).distinct()
-    asked = shifts.join(items, "item").groupBy("doc_id").agg(F.collect_list(F.struct("item", "item_id", "shift", "words")).alias("asked"))
-    asked = saved(asked.withColumnRenamed("doc_id", "asked_id"), "alignments")
-    ids = asked.select("asked_id")
-    near = with_uid(docs.select("doc_id", "text"), uid).join(F.broadcast(ids) if is_small(ids) else ids, F.col("doc_id").eqNullSafe(F.col("asked_id")), "left_semi")
-    near = near.join(asked, F.col("doc_id").eqNullSafe(F.col("asked_id"))).select("uid", "doc_id", "text", "asked")
+    base = bounded(docs).select(row_hash().alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+    hits = base.mapInArrow(_hits([*masks, *("1" * n for n in runs)], known), "row long, h long, p long")
+    # A small index meets the hits where they are made; beyond that hits are shuffled, and adaptive execution splits frequent hashes.
+    shifts = hits.join(F.broadcast(index) if is_small(index) else index, "h").groupBy("row", "item").agg(F.collect_set(F.col("p") - F.col("q")).alias("shifts"))
+    asked = shifts.join(F.broadcast(items) if is_small(items, 10_000) else items, "item").groupBy("row").agg(F.collect_list(F.struct("item_id", "shifts", "words")).alias("asked"))
+    asked = saved(asked.withColumnRenamed("row", "asked_row"), "alignments")
+    near = with_uid(docs.select("doc_id", "text"), uid)
+    rows = asked.select("asked_row")
+    if is_small(rows):
+        near = near.join(F.broadcast(rows), row_hash() == F.col("asked_row"), "left_semi")
+    near = near.join(asked, row_hash() == F.col("asked_row")).select("uid", "doc_id", "text", "asked")
     return near.mapInPandas(_verify(window, same), _FOUND)
 
 

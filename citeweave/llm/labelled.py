@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeweave.llm.common import training_row
+from citeweave.llm.common import bit_set, fresh, is_small, training_row, with_asked
 
 
 def held_out(doc_id, mod: int = 4, held: int = 2):
@@ -19,6 +19,17 @@ def training_labels(labels: DataFrame, label: str) -> DataFrame:
     return known.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("most")).filter("label = most").select("doc_id", "label")
 
 
+def near_labels(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of ``docs`` with an id in ``known``, and beyond a million of those ids perhaps others; texts stay where they are.
+
+    So what is made of the rows is to be joined with ``known`` once more.
+    """
+    if is_small(known):
+        return docs.join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi")
+    asked = fresh(docs, "bit_asked")
+    return with_asked(docs, bit_set(known, F.xxhash64("doc_id")), F.xxhash64("doc_id"), asked).filter(asked).drop(asked)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, also: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, label, text, and the columns ``also``, of up to ``per_class`` training documents of each label, 0 and 1, in an order by hash.
 

@@ -2,13 +2,14 @@
 
 A document of label 1 is preferred to one of label 0.  The model gives each document a strength, linear in features of
 its whole text, and a preference the probability sigmoid(strength - strength'); the weights minimise the logistic
-loss of feature differences over pairs of a bounded sample of labelled documents.  The threshold is a quantile of the sample's
-scores: the one that leaves the share of label 0 in all training labels below it.  A score is the sigmoid of the scaled distance to
+loss of feature differences over pairs of a bounded sample of labelled documents.  The threshold is a quantile of the strengths of
+all labelled training documents: the one that leaves the share of label 0 below it.  A score is the sigmoid of the scaled distance to
 that quantile, shifted so that the quantile is at ``cut``.
 
 Features come from the text alone: frequencies of character classes, lengths, and how often words and shingles repeat.
 
-Cases.  A null or empty text has features of its own, all zero counts, and a score.  If the sample has no document of one label, all
+Cases.  A null or empty text has features of its own, all zero counts, and a score.  A very long text is counted by windows of its bytes.  Documents whose strength is the
+quantile itself score ``cut`` and are accepted, all of them.  If the sample has no document of one label, all
 strengths are equal and all scores are ``cut``.  Repeated rows and null ids are scored each.  An empty table gives an
 empty result.  Further columns are ignored.
 """
@@ -16,7 +17,7 @@ empty result.  Further columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeweave.llm import wordhash
-from citeweave.llm.common import bounded, documents
-from citeweave.llm.labelled import held_out, labelled_sample
+from citeweave.llm.common import bounded, documents, saved
+from citeweave.llm.labelled import held_out, labelled_sample, near_labels, training_labels
 
 #: Class of each byte: every ASCII punctuation mark for itself; lower, upper, digit, space, line end, other control, beyond ASCII.
 _CLASS = np.zeros(256, np.int64)
@@ -99,7 +100,7 @@ def fit(x: np.ndarray, label: np.ndarray, share_bad: float, cut: float = 0.7, pa
         if np.abs(move).max() < 1e-6:
             break
     s = z @ w
-    # Each label's part of the sample stands for its share of all labels.
+    # Until it is calibrated, the quantile is the sample's, where each label's part stands for its share of all labels.
     order = np.argsort(s, kind="stable")
     mass = np.cumsum(np.where(label == 1, (1 - share_bad) / len(good), share_bad / len(bad))[order])
     k = min(int(np.searchsorted(mass, share_bad)), len(s) - 2)
@@ -107,6 +108,18 @@ def fit(x: np.ndarray, label: np.ndarray, share_bad: float, cut: float = 0.7, pa
     return Ranking(w / spread, quantile, float(2.0 / max(s.std(), 1e-9)), cut)
 
 
+def calibrated(docs: DataFrame, known: DataFrame, model: Ranking, share_bad: float, accuracy: int = 10_000) -> Ranking:
+    """``model`` with the quantile of the strengths of all documents in ``known`` (doc_id, label), by a mergeable summary of ``accuracy``."""
+    asked = near_labels(docs.select("doc_id", "text"), known)
+    rows = saved(strengths(asked, model).join(known.select("doc_id"), "doc_id", "left_semi"), "strengths")
+    # Halfway between the two strengths that the share parts; equal ones stay together.
+    low = rows.agg(F.percentile_approx("strength", share_bad, accuracy)).first()[0]
+    if low is None:
+        return model
+    high = rows.filter(F.col("strength") > low).agg(F.min("strength")).first()[0]
+    return replace(model, quantile=low if high is None else (low + high) / 2)
+
+
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for begin, end, raw, offsets in wordhash.text_slices(batch):
@@ -117,12 +130,25 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 3000, cut: float = 0.7) -> Ranking:
-    """Fits on up to ``per_class`` documents of each label; the share of label 0 is that of all training labels."""
+    """Fits on up to ``per_class`` documents of each label; the share of label 0 and the quantile are those of all labelled training documents."""
     sample = labelled_sample(bounded(docs), labels, "quality", per_class).mapInArrow(_feature_rows, "doc_id long, label int, x array<double>")
     rows = sample.dropDuplicates(["doc_id"]).orderBy("doc_id").toPandas()
-    share = labels.filter(~held_out(F.col("doc_id")) & F.col("quality").isin(0, 1)).agg(F.avg(1.0 - F.col("quality"))).first()[0]
+    known = training_labels(labels, "quality")
+    share = float(known.agg(F.avg(1.0 - F.col("label"))).first()[0] or 0.0)
     x = np.array(rows["x"].tolist(), float).reshape(-1, N_FEATURES)
-    return fit(x, rows["label"].to_numpy(int), float(share or 0.0), cut)
+    model = fit(x, rows["label"].to_numpy(int), share, cut)
+    return calibrated(docs, known, model, share) if rows["label"].nunique() == 2 else model
+
+
+def strengths(docs: DataFrame, model: Ranking) -> DataFrame:
+    """doc_id, strength of each row of ``docs``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin, end, raw, offsets in wordhash.text_slices(batch):
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(begin, end - begin), pa.array(features(raw, offsets) @ model.weights)], ["doc_id", "strength"])
+
+    return bounded(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, strength double")
 
 
 def score(docs: DataFrame, model: Ranking) -> DataFrame:

@@ -8,7 +8,11 @@ trained with Adam.  Only the window that holds a filter's maximum gets a gradien
 ``thresholds`` are calibrated by language on all labelled training documents that fitting did not see, from counts of scores, each
 label weighted to its share in the language: the cut with the best F1, or the common one where a language has under 20 of a label there.  The score itself knows no language.
 
-Cases.  A null or empty text has maxima of zero and a score.  If the sample lacks one of the labels, all scores are the other's: 0
+The fit is on whole texts of a sample with two bounds, ``per_class`` documents of each label and ``fit_words`` words in all, 12 bytes each, which
+alone reach the driver.
+
+Cases.  A null or empty text has maxima of zero and a score.  A very long text is scored by overlapping parts; for the fit a text that would exceed ``fit_words`` is passed over,
+and counts for the thresholds as others outside the fit do.  Of cuts with equally good F1 the highest is taken.  If the sample lacks one of the labels, all scores are the other's: 0
 without toxic documents.  Repeated rows and null ids are scored each.  An empty table gives an empty result.  Further
 columns are ignored.
 """
@@ -24,8 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeweave.llm import wordhash
-from citeweave.llm.common import bounded, documents
-from citeweave.llm.labelled import held_out, labelled_sample, training_labels
+from citeweave.llm.common import bounded, documents, saved
+from citeweave.llm.labelled import held_out, labelled_sample, near_labels, training_labels
 
 BUCKETS = 1 << 14
 DIM, FILTERS, WIDTHS = 8, 8, (1, 2, 3)
@@ -227,20 +231,27 @@ def _bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*map(own.column, ("doc_id", "label", "lang")), pa.array([r.tobytes() for r in rows], pa.binary())], ["doc_id", "label", "lang", "words"])
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000, calibrate: float = 0.25) -> Model:
-    """Fits on up to ``per_class`` documents of each label; of these, the part ``calibrate`` sets thresholds only, as all other labelled documents do."""
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000, calibrate: float = 0.25, fit_words: int = 4_000_000) -> Model:
+    """Fits on up to ``per_class`` documents of each label and ``fit_words`` words; of these documents, the part ``calibrate`` sets thresholds only, as all other labelled ones do."""
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string").alias("lang")
     sample = labelled_sample(bounded(docs).select("doc_id", "text", lang), labels, "toxic", per_class, ("lang",))
     sample = sample.mapInArrow(_bucket_rows, "doc_id long, label int, lang string, words binary").dropDuplicates(["doc_id"])
-    rows = sample.orderBy(F.xxhash64("doc_id")).toPandas()
-    share = labels.filter(~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1)).agg(F.avg("toxic")).first()[0]
+    sample = saved(sample, "toxic-sample")
+    order = sample.select("doc_id", (F.octet_length("words") / 12).cast("long").alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()  # 2 * per_class at most
+    chosen, left = [], fit_words
+    for r in order[int(len(order) * calibrate) :]:
+        if r["n"] <= left:
+            chosen.append((r["doc_id"],))
+            left -= r["n"]
+    picked = docs.sparkSession.createDataFrame(chosen, "doc_id long")
+    rows = sample.join(F.broadcast(picked), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id", "label", "words").toPandas()
+    known = training_labels(labels, "toxic")
+    share = known.agg(F.avg("label")).first()[0]
     words = [np.frombuffer(w, np.int32).reshape(-1, 3) for w in rows["words"]]
-    label = rows["label"].to_numpy(int)
-    n = int(len(words) * calibrate)
-    network = fit(words[n:], label[n:], float(share or 0.0))
-    ids = docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "text", lang)
-    scored = score(ids, Model(network, {None: 0.3})).select("doc_id", "lang", "score")
-    return Model(network, calibrated(scored, training_labels(labels, "toxic"), rows["doc_id"][n:].tolist()))
+    network = fit(words, rows["label"].to_numpy(int), float(share or 0.0))
+    asked = near_labels(docs.select("doc_id", "text", lang), known)
+    scored = score(asked, Model(network, {None: 0.3})).select("doc_id", "lang", "score")
+    return Model(network, calibrated(scored, known, rows["doc_id"].tolist()))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

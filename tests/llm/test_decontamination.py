@@ -81,6 +81,21 @@ def test_every_pattern_in_short_items(docs_of, bench):
     assert expected - got == set()
 
 
+def test_repetitive_texts(docs_of, bench):
+    """Many shifts of one item: what is kept of them is in proportion to the text."""
+    items = [(i, " ".join(["again"] * (20 + i))) for i in range(20)] + [(20, " ".join(f"x{k % 7}" for k in range(40)))]
+    docs = [(1, "again " * 100_000), (2, " ".join(f"x{k % 7}" for k in range(5000))), (3, "other " * 5000), (None, "again " * 50), (None, "x0 x1 x2 " * 50)]
+    got = {(r["doc_id"], r["item_id"], r["start"], r["n_same"]) for r in decontamination.contaminated(docs_of(docs), bench(items)).collect()}
+    assert {(d, i) for d, i, _, n in got if n == 13} == {(1, i) for i in range(20)} | {(None, i) for i in range(20)} | {(2, 20)}
+
+
+def test_null_ids_do_not_meet(docs_of, bench):
+    item = " ".join(f"b{k}" for k in range(14))
+    docs = [(None, f"text {i} of its own") for i in range(300)] + [(None, f"{item} end {i}") for i in range(5)] + [(None, f"{item} end 0")]
+    got = decontamination.contaminated(docs_of(docs), bench([(1, item)])).collect()
+    assert [(r["doc_id"], r["item_id"], r["n_same"]) for r in got] == [(None, 1, 13)] * 6
+
+
 def test_nothing(docs_of, bench):
     none = docs_of([]).filter("doc_id < 0")
     assert decontamination.contaminated(none, bench([(0, "a b c d")])).count() == 0

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from citeweave.llm import lm_scoring, quality, toxicity
 
@@ -75,6 +76,27 @@ def test_classifiers_without_one_label(spark, data, docs_of):
     assert quality.score(empty, model).count() == 0 == toxicity.score(empty, toxicity.train(docs, none)).count()
 
 
+def test_quantile_of_all_labelled_documents(spark):
+    """The part of training documents below the cut is the share of label 0, whatever the sample."""
+    docs, labels = corpus(900, seed=6)
+    docs = spark.createDataFrame(docs + [(5000, "no label")], "doc_id long, text string")
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int, lang string")
+    training = {d: q for d, q, *_ in labels if zlib.crc32(str(d).encode()) % 4 != 2}
+    for per_class in (40, 3000):
+        model = quality.train(docs, known, per_class=per_class)
+        below = sum(r["score"] < model.cut for r in quality.score(docs, model).collect() if r["doc_id"] in training)
+        assert abs(below - sum(q == 0 for q in training.values())) <= 2
+
+
+def test_sample_bounded_in_words(spark):
+    docs, labels = corpus(400, seed=7)
+    rows = spark.createDataFrame(docs, "doc_id long, text string").withColumn("lang", F.lit("en"))
+    model = toxicity.train(rows, spark.createDataFrame(labels, "doc_id long, quality int, toxic int, lang string"), fit_words=6000)
+    toxic = {d: t for d, _, t, _ in labels if zlib.crc32(str(d).encode()) % 4 == 2}
+    found = {r["doc_id"]: r["score"] >= 0.3 for r in toxicity.score(rows, model).collect()}
+    assert sum(found[d] == bool(t) for d, t in toxic.items()) / len(toxic) > 0.8
+
+
 def test_thresholds_of_a_rare_language(spark):
     docs, labels = corpus(900, seed=4)
     ids = [d for d, *_ in labels if zlib.crc32(str(d).encode()) % 4 != 2]
