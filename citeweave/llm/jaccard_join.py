@@ -14,15 +14,18 @@ counts are summed.
 
 Groups of near copies aren't expanded: per shingle the cleanest set, the hub, is compared with all others first.  Pairs
 that this puts in one component need no further test; all other pairs that pass the bounds are tested, so no link between
-components is lost.  ``links`` gives every linked pair instead.
+components is lost.  Those meet by shingle and size: sizes of linked sets differ by a factor of 1/t at most, so a set looks into its own
+grade of sizes and the next ones.  A shingle and grade with many sets is split by salts.  ``links`` gives every linked pair instead.
 
-Cases.  Null and empty texts have no shingles and are alone, even if they are many.  Texts of fewer words than a shingle
+Cases.  Null and empty texts have no shingles and are alone, even if they are many.  A very long text is one set of all its shingles, in one row.  Of shingles equally
+frequent the one with the smaller hash comes first; of documents with the least id of a component one is ``first``.  Texts of fewer words than a shingle
 have one, the whole sequence.  Repeated rows get a result each; a null id is the largest.  An empty table gives an empty
 result.  Further columns are ignored.  Hashes have 64 bits, see ``wordhash``.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -33,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from citeweave.llm import wordhash
-from citeweave.llm.common import attach_groups, bounded, documents, forget, is_small, keep_rows, row_hash, saved, with_uid
+from citeweave.llm.common import attach_groups, bit_set, bounded, documents, forget, is_small, keep_rows, row_hash, saved, with_asked, with_uid
 from citeweave.llm.components import components
 
 _U64 = np.uint64
@@ -90,7 +93,10 @@ def jaccard_join(docs: DataFrame, size: int = 5, threshold: Fraction = Fraction(
     alive = saved(classes.join(lone, "sig", "left").filter(few_lone).select("sig", "least"), "jaccard-alive")
     forget(first_fragment)  # the largest of all tables here
     ids = alive.select(F.col("least.doc_id").alias("rep_id")).distinct()
-    again = base.join(F.broadcast(ids) if is_small(ids) else ids, F.col("doc_id").eqNullSafe(F.col("rep_id")), "left_semi")
+    if is_small(ids):
+        again = base.join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("rep_id")), "left_semi")
+    else:  # by a set of bits of a bounded size: texts stay where they are, and sets that aren't alive leave below
+        again = with_asked(base, bit_set(ids, F.xxhash64("rep_id")), F.xxhash64("doc_id"), "asked").filter("asked").drop("asked")
     sets = again.mapInArrow(_shingle_sets(size, low, True), _SETS).select("sig", "n", "tokens").join(alive.select("sig"), "sig", "left_semi")
     sets = saved(sets.groupBy("sig").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")), "jaccard-sets")
 
@@ -127,9 +133,8 @@ def jaccard_join(docs: DataFrame, size: int = 5, threshold: Fraction = Fraction(
         side = saved(side, "jaccard-open")
         open_tokens = side.groupBy("token").agg((F.min("c") != F.max("c")).alias("open")).filter("open").select("token")
         side = saved(side.join(open_tokens, "token", "left_semi"), "jaccard-open")
-    x, y = side.filter(clean).alias("x"), side.alias("y")
     apart = F.col("x.sig") != F.col("y.sig") if hubs is None else F.col("x.c") != F.col("y.c")
-    rest = x.join(y, (F.col("x.token") == F.col("y.token")) & apart & may_link("x", "y"))
+    rest = _meeting(side.filter(clean), side, num, den).filter(apart & may_link("x", "y"))
     rest = _linked(rest.select(F.least("x.sig", "y.sig").alias("a"), F.greatest("x.sig", "y.sig").alias("b")).distinct(), sets, num, den, fragments)
     if links:
         return rest
@@ -148,6 +153,23 @@ def jaccard_join(docs: DataFrame, size: int = 5, threshold: Fraction = Fraction(
     return out.select("uid", "doc_id", F.col("n").alias("n_shingles"), F.when(~alone, F.col("sig")).alias("class_id"), F.when(alone, F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("component_id"), first.alias("first"))
 
 
+def _meeting(some: DataFrame, side: DataFrame, num: int, den: int, parts: int = 400) -> DataFrame:
+    """(x, y) of ``some`` and ``side`` that share a token and whose sizes n may belong to linked sets.
+
+    A token and grade of sizes with more than 1/parts of ``some`` is hot; there are ``parts`` of those at most, and that
+    list is broadcast.  Its rows of ``some`` go to several salts, and those of ``side`` are repeated once per salt.
+    """
+    grade = F.floor(F.log(F.col("n").cast("double")) / (math.log(den / num) * (1 + 1e-9))).cast("int")
+    x, y = some.withColumn("grade", grade), side.withColumn("grade", F.explode(F.array(grade - 1, grade, grade + 1)))
+    sizes = x.groupBy("token", "grade").agg(F.count(F.lit(1)).alias("m"))
+    piece = max(1000, math.ceil(some.count() / parts))
+    hot = F.broadcast(sizes.filter(F.col("m") > piece).select("token", "grade", F.ceil(F.col("m") / piece).cast("int").alias("salts")))
+    x = x.join(hot, ["token", "grade"], "left").withColumn("salt", F.pmod(F.xxhash64("sig"), F.coalesce("salts", F.lit(1))).cast("int"))
+    y = y.join(hot, ["token", "grade"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
+    x, y = (z.select("token", "grade", "salt", F.struct(*side.columns).alias(name)) for z, name in ((x, "x"), (y, "y")))
+    return x.join(y, ["token", "grade", "salt"]).select("x", "y")
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` of which one of each component stays, all columns as they are; texts without words stay."""
     found = jaccard_join(docs, uid=row_hash())

@@ -4,6 +4,8 @@ import random
 import re
 from fractions import Fraction
 
+from pyspark.sql import functions as F
+
 from citeweave.llm import jaccard_join
 
 
@@ -74,6 +76,25 @@ def test_all_links(docs_of):
     assert {tuple(sorted(r)) for r in jaccard_join.jaccard_join(docs, links=True).collect()} == expected
 
 
+def test_boilerplate_in_many_documents(docs_of, spark):
+    """A passage that many documents share links none of those that differ, and pairs don't grow with their square."""
+    n = 20_000
+    passage = " ".join(f"b{k}" for k in range(12))
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit(passage + " "), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(19)), lambda k: F.concat(F.lit("u"), F.col("id").cast("string"), F.lit("_"), k.cast("string"))), " ")).alias("text"))
+    near = docs.filter("doc_id % 1000 = 0").select((F.col("doc_id") + n).alias("doc_id"), F.concat("text", F.lit(" more")).alias("text"))
+    got = jaccard_join.jaccard_join(docs.unionByName(near))
+    assert got.count() == n + 20 and got.filter(f"component_id = doc_id - {n}").count() == 20 and got.filter("component_id = doc_id").count() == n
+
+
+def test_meeting_with_salts(spark):
+    """All pairs of near enough sizes meet once, however hot the token is."""
+    rows = spark.range(3000).select(F.col("id").alias("sig"), (F.col("id") % 40 + 10).alias("n"), F.when(F.col("id") % 10 > 0, 1).otherwise(2).cast("long").alias("token"))
+    met = jaccard_join._meeting(rows, rows, 4, 5, parts=2).select("x.sig", "x.n", "x.token", F.col("y.sig").alias("other"), F.col("y.n").alias("m"))
+    near = "least(n, m) * 5 >= greatest(n, m) * 4"
+    wanted = rows.join(rows.select(F.col("sig").alias("other"), F.col("n").alias("m"), "token"), "token").filter(near).count()
+    assert met.filter(near).count() == wanted == met.filter(near).distinct().count()
+
+
 def test_other_threshold_and_nothing(docs_of):
     assert jaccard_join.jaccard_join(docs_of([]).filter("doc_id < 0")).count() == 0
     rows = [(0, "a b c d e f"), (1, "a b c d e g"), (2, "x y")]
