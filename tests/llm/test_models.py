@@ -135,25 +135,54 @@ def test_language_model(spark, data, known):
         assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def small_model(seed=3, heads=300, bits=14):
+    tree = lm_scoring.Tree(heads, next(d for d in range(1, 9) if lm_scoring.WIDE**d >= heads + lm_scoring.TAILS), bits)
+    rng = np.random.default_rng(seed)
+    w = lm_scoring.first_weights(tree, rng.integers(0, 50, lm_scoring.TAILS + heads))
+    w.hashed += rng.normal(0, 0.5, w.hashed.shape).astype(np.float32)
+    return tree, w, rng
+
+
 def test_gradient_has_every_place(spark):
-    rng = np.random.default_rng(3)
-    texts = [rng.integers(0, lm_scoring.START, n).astype(np.uint16) for n in [*range(1, 9), 700, 20]]
-    texts += [np.arange(30, 40, dtype=np.uint16)] * 3
+    tree, w, rng = small_model()
+    leaves = lm_scoring.TAILS + tree.heads
+    texts = [rng.integers(lm_scoring.TAILS, leaves, n).astype(np.uint32) for n in [*range(1, 9), 9000, 20]]
+    texts[8][::7] = lm_scoring.symbol_of_rare(rng.integers(0, 1 << 62, len(texts[8][::7])))
+    texts += [np.arange(40, 50, dtype=np.uint32)] * 3
     rows = spark.createDataFrame([(t.tobytes(), True) for t in texts] + [(texts[8].tobytes(), False)], "symbols binary, trains boolean").repartition(4)
-    w = lm_scoring.Weights(rng.normal(0, 0.3, (lm_scoring.CLASS_ROWS, lm_scoring.CLASSES)).astype(np.float32), rng.normal(0, 0.3, (lm_scoring.WORD_ROWS, lm_scoring.WIDE)).astype(np.float32))
-    expected = [np.zeros_like(w.classes), np.zeros_like(w.words)]
+    own, hashed, seen = (np.zeros_like(x, dtype=float) for x in (w.own, w.hashed, w.hashed))
     for symbols in texts:
         one, two = lm_scoring.contexts(symbols, np.array([0, len(symbols)]))
-        cls, _ = lm_scoring.split_symbols(symbols)
-        head = symbols < lm_scoring.HEAD
-        for table, weights, features in ((expected[0], w.classes, lm_scoring.class_features(one, two)), (expected[1], w.words, lm_scoring.word_features(one[head], two[head], cls[head]))):
-            if len(features[1]):
-                p = w.soft(weights, features)
-                for f in features:
-                    np.add.at(table, np.broadcast_to(f, len(p)), p)
-    got, seen = lm_scoring.expected(lm_scoring.context_counts(rows), w), lm_scoring.observed(rows)
-    assert all(np.allclose(g, e, atol=1e-3) for g, e in zip(got, expected, strict=True))
-    assert seen[0][lm_scoring._BIAS].sum() == sum(map(len, texts)) == round(float(got[0][lm_scoring._BIAS].sum()))
+        for s, a, b in zip(symbols, one, two, strict=True):
+            leaf = lm_scoring.leaf_of(np.array([s]))
+            for level in range(tree.depth):
+                node = tree.node(leaf, level)
+                rs = lm_scoring.rows_of(lm_scoring.history_hashes(np.array([a]), np.array([b])), node, tree.bits)
+                z = np.exp((w.own[node] + sum(w.hashed[r] for r in rs))[0].astype(float))
+                own[node[0]] += z / z.sum()
+                for r in rs:
+                    hashed[r[0]] += z / z.sum()
+                    seen[r[0], tree.child(leaf, level)[0]] += 1
+    got = lm_scoring.counted(rows, w, True)
+    assert all(np.allclose(g, e, rtol=1e-3, atol=1e-3) for g, e in zip(got, (own, hashed, seen), strict=True))
+    assert round(float(got[0][0].sum())) == sum(map(len, texts)) and got[2].sum() == 3 * tree.depth * sum(map(len, texts))
+    assert len(lm_scoring.counted(rows, w)) == 2
+
+
+def test_probabilities_sum_to_one():
+    for heads in (5, 300, 5000):
+        tree, w, _ = small_model(heads=heads)
+        leaves = np.arange(lm_scoring.TAILS + heads, dtype=np.uint32)
+        symbols = np.column_stack([np.full_like(leaves, 40), np.full_like(leaves, lm_scoring.RARE + 999), leaves]).ravel()
+        symbols[2::3][: lm_scoring.TAILS] |= np.uint32(lm_scoring.RARE)  # tail words
+        logs = lm_scoring.log_probabilities(w, symbols, np.arange(0, len(symbols) + 1, 3))
+        assert abs(np.exp(logs[2::3]).sum() - 1) < 1e-4
+
+
+def test_model_grows_with_the_corpus():
+    small, large, huge = (lm_scoring.tree_for(n, 1_000_000) for n in (10**6, 10**8, 10**12))
+    assert small.heads < large.heads < huge.heads == 1_000_000 and small.bits < large.bits <= huge.bits == lm_scoring.MOST_BITS and huge.depth == 5
+    assert lm_scoring.training_tasks(10**8, large, 6) == 12 and lm_scoring.training_tasks(10**12, huge, 6) == math.ceil(10**12 / (256 << huge.bits))
 
 
 def test_language_model_of_nothing(docs_of):
