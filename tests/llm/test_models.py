@@ -135,54 +135,55 @@ def test_language_model(spark, data, known):
         assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
-def small_model(seed=3, heads=300, bits=14):
-    tree = lm_scoring.Tree(heads, next(d for d in range(1, 9) if lm_scoring.WIDE**d >= heads + lm_scoring.TAILS), bits)
+def small_model(n=0, seed=3):
+    shape = lm_scoring.shape_for(n)
     rng = np.random.default_rng(seed)
-    w = lm_scoring.first_weights(tree, rng.integers(0, 50, lm_scoring.TAILS + heads))
-    w.hashed += rng.normal(0, 0.5, w.hashed.shape).astype(np.float32)
-    return tree, w, rng
+    return shape, lm_scoring.Weights(shape, *(rng.normal(0, 0.3, x.shape).astype(np.float32) for x in shape.empty())), rng
 
 
-def test_gradient_has_every_place(spark):
-    tree, w, rng = small_model()
-    leaves = lm_scoring.TAILS + tree.heads
-    texts = [rng.integers(lm_scoring.TAILS, leaves, n).astype(np.uint32) for n in [*range(1, 9), 9000, 20]]
-    texts[8][::7] = lm_scoring.symbol_of_rare(rng.integers(0, 1 << 62, len(texts[8][::7])))
-    texts += [np.arange(40, 50, dtype=np.uint32)] * 3
+@pytest.mark.parametrize("n", [0, 1 << 27])
+def test_gradient_has_every_place(spark, n):
+    shape, w, rng = small_model(n)
+    texts = [rng.integers(0, shape.start, k).astype(np.uint16) for k in [*range(1, 9), 700, 20]]
+    texts += [np.arange(30, 40, dtype=np.uint16)] * 3
     rows = spark.createDataFrame([(t.tobytes(), True) for t in texts] + [(texts[8].tobytes(), False)], "symbols binary, trains boolean").repartition(4)
-    own, hashed, seen = (np.zeros_like(x, dtype=float) for x in (w.own, w.hashed, w.hashed))
+    wanted, outcomes = shape.empty(float), shape.empty(float)
     for symbols in texts:
-        one, two = lm_scoring.contexts(symbols, np.array([0, len(symbols)]))
-        for s, a, b in zip(symbols, one, two, strict=True):
-            leaf = lm_scoring.leaf_of(np.array([s]))
-            for level in range(tree.depth):
-                node = tree.node(leaf, level)
-                rs = lm_scoring.rows_of(lm_scoring.history_hashes(np.array([a]), np.array([b])), node, tree.bits)
-                z = np.exp((w.own[node] + sum(w.hashed[r] for r in rs))[0].astype(float))
-                own[node[0]] += z / z.sum()
-                for r in rs:
-                    hashed[r[0]] += z / z.sum()
-                    seen[r[0], tree.child(leaf, level)[0]] += 1
-    got = lm_scoring.counted(rows, w, True)
-    assert all(np.allclose(g, e, rtol=1e-3, atol=1e-3) for g, e in zip(got, (own, hashed, seen), strict=True))
-    assert round(float(got[0][0].sum())) == sum(map(len, texts)) and got[2].sum() == 3 * tree.depth * sum(map(len, texts))
-    assert len(lm_scoring.counted(rows, w)) == 2
-
-
-def test_probabilities_sum_to_one():
-    for heads in (5, 300, 5000):
-        tree, w, _ = small_model(heads=heads)
-        leaves = np.arange(lm_scoring.TAILS + heads, dtype=np.uint32)
-        symbols = np.column_stack([np.full_like(leaves, 40), np.full_like(leaves, lm_scoring.RARE + 999), leaves]).ravel()
-        symbols[2::3][: lm_scoring.TAILS] |= np.uint32(lm_scoring.RARE)  # tail words
-        logs = lm_scoring.log_probabilities(w, symbols, np.arange(0, len(symbols) + 1, 3))
-        assert abs(np.exp(logs[2::3]).sum() - 1) < 1e-4
+        one, two = lm_scoring.contexts(symbols, np.array([0, len(symbols)]), shape.start)
+        cls, word = lm_scoring.split_symbols(shape, symbols)
+        head = symbols < shape.head
+        of_word = lm_scoring.word_features(shape, one[head], two[head], cls[head])
+        for table, seen, weights, features, outcome in ((wanted[0], outcomes[0], w.classes, lm_scoring.class_features(shape, one, two), cls), (wanted[1], outcomes[1], w.words, of_word, word[head])):
+            if len(features[1]):
+                p = w.soft(weights, features)
+                for f in features:
+                    np.add.at(table, np.broadcast_to(f, len(p)), p)
+                    np.add.at(seen, (np.broadcast_to(f, len(p)), outcome), 1)
+    got, seen = lm_scoring.expected(lm_scoring.context_counts(rows, shape), w), lm_scoring.observed(rows, shape, 1000)
+    assert all(np.allclose(g, e, atol=1e-3) for g, e in zip(got, wanted, strict=True))
+    assert all(np.array_equal(g, e) for g, e in zip(seen, outcomes, strict=True))
+    assert seen[0].sum() == 4 * sum(map(len, texts))
+
+
+@pytest.mark.parametrize("n", [0, 1 << 27])
+def test_probabilities_sum_to_one(n):
+    """Over all symbols, after some histories."""
+    shape, w, rng = small_model(n)
+    symbols = np.arange(shape.start).astype(np.uint16)
+    cls, word = lm_scoring.split_symbols(shape, symbols)
+    head = symbols < shape.head
+    for a, b in ((3, 5), (shape.head + 1, shape.start), (shape.start, shape.start)):
+        one, two = np.full(len(symbols), a, np.uint16), np.full(len(symbols), b, np.uint16)
+        logs = w.log(w.classes, lm_scoring.class_features(shape, one, two), cls)
+        logs[head] += w.log(w.words, lm_scoring.word_features(shape, one[head], two[head], cls[head]), word[head])
+        assert abs(np.exp(logs).sum() - 1) < 1e-4
 
 
 def test_model_grows_with_the_corpus():
-    small, large, huge = (lm_scoring.tree_for(n, 1_000_000) for n in (10**6, 10**8, 10**12))
-    assert small.heads < large.heads < huge.heads == 1_000_000 and small.bits < large.bits <= huge.bits == lm_scoring.MOST_BITS and huge.depth == 5
-    assert lm_scoring.training_tasks(10**8, large, 6) == 12 and lm_scoring.training_tasks(10**12, huge, 6) == math.ceil(10**12 / (256 << huge.bits))
+    shapes = [lm_scoring.shape_for(n) for n in (0, 1 << 24, 1 << 25, 1 << 26, 1 << 28, 1 << 32, 1 << 50)]
+    assert [s.head for s in shapes] == [1024, 1024, 2048, 2048, 4096, 16384, 16384]
+    assert [s.bits for s in shapes] == [15, 15, 16, 16, 16, 17, 17]
+    assert lm_scoring._tasks(10**8, shapes[0], 6) == 48 and lm_scoring._tasks(10**6, shapes[0], 6) == 4
 
 
 def test_language_model_of_nothing(docs_of):
