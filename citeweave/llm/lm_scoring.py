@@ -11,7 +11,7 @@ P(class | history) alone, both as a bigram.  Inside a tail class tokens have the
 probabilities sum to one just as the base's do.
 
 Size.  The vocabulary grows as the square root of the training tokens, 1,024 words up to 2^24 of these and twice as many for each factor of four, and so do
-classes, words a class, and rows of weights: see ``shape_for``.  It ends at 16,384 words and 150 MB of weights, a bound on the memory of the driver
+classes, words a class, and rows of weights: see ``shape_for``.  It ends at 8,192 words and 59 MB of weights, a bound on the memory of the driver
 and of executors, to which weights are broadcast.
 
 Training.  Weights start from counts of feature and outcome over all training tokens.  Then gradient updates: executors sum
@@ -45,7 +45,7 @@ _U64 = np.uint64
 END = int(wordhash.mix(np.array([7], _U64))[0].view(np.int64))
 TAILS = 32
 #: Training tokens up to which the vocabulary has its least size; most doublings of it.
-LEAST_TOKENS, MOST_GROWTH = 1 << 24, 4
+LEAST_TOKENS, MOST_GROWTH = 1 << 24, 3
 SMOOTH = 0.1
 _LOG10E = float(np.log10(np.e))
 
@@ -84,7 +84,7 @@ class Shape:
 def shape_for(n: int) -> Shape:
     """The shape for ``n`` training tokens."""
     k = min(MOST_GROWTH, max(0, math.ceil(math.log2(max(n, 1) / LEAST_TOKENS) / 2)))
-    return Shape(32 << (k + 1) // 2, 32 << k // 2, 15 + (k + 1) // 2)
+    return Shape(32 << (k + 1) // 2, 32 << k // 2, 15 + k // 2)
 
 
 def tokens_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -416,11 +416,15 @@ def _summed(parts: DataFrame, shape: Shape, fan: int = 32) -> list[np.ndarray]:
             total += _unpacked(piece, size[k])
         return pd.DataFrame({"k": [k], "j": [j], "piece": [pa.compress(total.astype(np.float32).tobytes(), "zstd", asbytes=True)], "t": [t]})
 
-    table = saved(parts.withColumn("t", F.spark_partition_id()), "lm-sums")
-    while (table.agg(F.max("t")).first()[0] or 0) > 0:
+    table, groups = parts.withColumn("t", F.spark_partition_id()), parts.rdd.getNumPartitions()
+    while True:
         grouped = table.withColumn("t", F.floor(F.col("t") / fan).cast("int")).groupBy("t", "k", "j")
         before, table = table, saved(grouped.applyInPandas(add, "k int, j int, piece binary, t int"), "lm-sums")
-        forget(before)
+        if hasattr(before, "scratch"):
+            forget(before)
+        groups = math.ceil(groups / fan)
+        if groups <= 1:
+            break
     for row in table.toLocalIterator():  # one set of tables, of a bounded size
         into = out[row["k"]][row["j"] * PIECE_ROWS : (row["j"] + 1) * PIECE_ROWS]
         into[:] = _unpacked(row["piece"], into.nbytes).reshape(into.shape)
@@ -428,14 +432,14 @@ def _summed(parts: DataFrame, shape: Shape, fan: int = 32) -> list[np.ndarray]:
     return out
 
 
-def _tasks(places: int, shape: Shape, cores: int) -> int:
-    """Enough tasks for all cores, each with 2^18 places or contexts at least; beyond that one for each 64 a row of its tables."""
-    return max(1, min(math.ceil(places / (1 << 18)), 2 * cores), math.ceil(places / (64 << shape.bits)))
+def _tasks(n: int, shape: Shape, cores: int, each: int) -> int:
+    """Tasks for ``n`` places or contexts: up to one a core with ``each`` of them at least for each row of its tables, and eight times as many at most."""
+    return max(1, min(math.ceil(n / (each << shape.bits)), cores), math.ceil(n / (8 * each << shape.bits)))
 
 
 def observed(rows: DataFrame, shape: Shape, n: int) -> list[np.ndarray]:
     """Counts of feature and outcome at all ``n`` training places."""
-    few = rows.coalesce(_tasks(n, shape, rows.sparkSession.sparkContext.defaultParallelism))
+    few = rows.coalesce(_tasks(n, shape, rows.sparkSession.sparkContext.defaultParallelism, 256))
     return _summed(few.filter("trains").select("symbols").mapInArrow(_observed(shape), _PIECES), shape)
 
 
@@ -443,7 +447,7 @@ def context_counts(rows: DataFrame, shape: Shape) -> DataFrame:
     """Each context of a training place and at how many it stands, in few tasks, as each makes tables of sums."""
     partial = rows.filter("trains").select("symbols").mapInArrow(_contexts(shape), "h long, c long")
     table = saved(partial.groupBy("h").agg(F.sum("c").alias("c")), "lm-contexts")
-    few = table.coalesce(_tasks(table.count(), shape, rows.sparkSession.sparkContext.defaultParallelism))
+    few = table.coalesce(_tasks(table.count(), shape, rows.sparkSession.sparkContext.defaultParallelism, 32))
     few.scratch = table.scratch
     return few
 

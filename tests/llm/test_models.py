@@ -181,9 +181,9 @@ def test_probabilities_sum_to_one(n):
 
 def test_model_grows_with_the_corpus():
     shapes = [lm_scoring.shape_for(n) for n in (0, 1 << 24, 1 << 25, 1 << 26, 1 << 28, 1 << 32, 1 << 50)]
-    assert [s.head for s in shapes] == [1024, 1024, 2048, 2048, 4096, 16384, 16384]
-    assert [s.bits for s in shapes] == [15, 15, 16, 16, 16, 17, 17]
-    assert lm_scoring._tasks(10**8, shapes[0], 6) == 48 and lm_scoring._tasks(10**6, shapes[0], 6) == 4
+    assert [s.head for s in shapes] == [1024, 1024, 2048, 2048, 4096, 8192, 8192]
+    assert [s.bits for s in shapes] == [15, 15, 15, 15, 16, 16, 16]
+    assert [lm_scoring._tasks(n, shapes[0], 6, 256) for n in (0, 10**6, 10**8, 10**9)] == [1, 1, 6, 15]
 
 
 def test_language_model_of_nothing(docs_of):
