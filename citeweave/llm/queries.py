@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citeweave.llm import decontamination, exact_dedup, jaccard_join, licenses, lm_scoring, mixing, quality, secrets, token_counts, toxicity
+from citeweave.llm import decontamination, exact_dedup, jaccard_join, licenses, lm_scoring, mixing, oracles, quality, secrets, token_counts, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_scan": licenses.op8_license_scan,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_secret_scan": secrets.op10_secret_scan,
+        **oracles.QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.ORACLE}
+    return {"op2_exact_dedup": exact_dedup.ORACLE, **oracles.SQL}

@@ -186,11 +186,11 @@ def test_pipeline(spark):
     assert corpus_pipeline.run(spark, folder).count() == len(after)
 
 
-def test_sql_counterparts(spark):
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_sql_counterparts(spark, name):
     folder = "/root/testdata/sf0.001"
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{folder}/documents.parquet'")
-    for name, sql in queries.oracle_sql().items():
-        got = queries.queries()[name](spark, folder)
-        expected = con.execute(f"select {', '.join(got.columns)} from ({sql})").fetchall()
-        assert Counter(map(tuple, got.collect())) == Counter(expected)
+    got = queries.queries()[name](spark, folder)
+    expected = con.execute(f"select {', '.join(got.columns)} from ({queries.oracle_sql()[name]})").fetchall()
+    assert Counter(map(tuple, got.collect())) == Counter(expected)
