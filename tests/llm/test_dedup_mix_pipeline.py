@@ -186,6 +186,26 @@ def test_pipeline(spark):
     assert corpus_pipeline.run(spark, folder).count() == len(after)
 
 
+def test_pipeline_in_odd_cases(spark, docs_of, tmp_path):
+    """Null ids, null, empty, repeated and long texts, and names that clash; then nothing at all."""
+    rng = random.Random(2)
+    body = [" ".join(f"w{rng.randrange(500)}" for _ in range(60)) + "." for _ in range(40)]
+    rows = [(i, t) for i, t in enumerate(body)] + [(None, body[0]), (None, None), (50, None), (51, ""), (3, body[3]), (None, "own text of a row without id " * 3), (52, "long " + " ".join(f"x{k}" for k in range(30_000)))]
+    docs = docs_of(rows)
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(1, body[5]), (None, None)], "item_id long, text string")
+    for name, table in (("documents", docs), ("labels", labels), ("benchmark", bench)):
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert got.columns == [*docs.columns, "copy_"]
+    texts = Counter((r["doc_id"], r["text"]) for r in got.collect())
+    assert set(texts) <= set(rows) and max(texts.values()) <= 2 and (5, body[5]) not in texts and (None, body[0]) not in texts
+
+    for name, table in (("documents", docs), ("labels", labels), ("benchmark", bench)):
+        table.limit(0).write.mode("overwrite").parquet(f"{tmp_path}/none/{name}.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_sql_counterparts(spark, name):
     folder = "/root/testdata/sf0.001"
