@@ -47,7 +47,7 @@ DESIGNS = {
     "preclinical": "preclinical",
     "other": "other",
 }
-#: A sentence ends before white space that a capital, digit or opening bracket follows.
+# A sentence ends before white space that a capital, digit or opening bracket follows; identifiers inside raw text.
 SENTENCE_GAP = r"(?<=[.!?])\s+(?=[A-Z0-9(\[])"
 DOI = r"\b10\.\d{4,9}/[^\s\"<>]+"
 PMID = r"(?i)pmid[:\s]*([0-9]{4,9})"
@@ -118,10 +118,11 @@ def nfkc(texts: pd.Series) -> pd.Series:
 def loose(text: Column, compose: bool = True) -> Column:
     """Text for comparison: composed, lower-case, one kind of hyphen, single spaces.
 
-    ASCII texts are in composed form already; with ``compose`` False nothing leaves the JVM.
+    With ``compose`` False nothing leaves the JVM.
     """
     text = F.coalesce(text, F.lit(""))
-    text = nfkc(text) if compose else text
+    # ASCII texts are in composed form already: only others are sent to Python.
+    text = F.when(F.octet_length(text) == F.length(text), text).otherwise(nfkc(F.when(F.octet_length(text) != F.length(text), text))) if compose else text
     return squeeze(F.regexp_replace(F.lower(text), "[‐-―-]", "-"))
 
 

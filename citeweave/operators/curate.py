@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from citeweave.functions.text import design_bucket, hash_share, record_id, record_key, report_stratum, specialty_bucket, stratum
 from citeweave.functions.values import or_empty
+from citeweave.operators.enrich import small
 
 #: Fixed value: strata in the order in which cells are planned.
 STRATA = ("match_strong", "match_moderate", "match_weak", "mismatch", "ambiguous")
 #: Fixed value: what stands for a missing article id in the split.
 NO_ARTICLE = "__NULL_PMCID__"
+#: Cells of a plan that is drawn on the driver.
+MOST_CELLS = 10_000
 
 
 def with_key(results: DataFrame) -> DataFrame:
@@ -90,11 +93,11 @@ def allocated(population: DataFrame, stratum_column: str, target: int | Column)
 def exact_draw(plan: DataFrame, by: Sequence[str], seed: int, strata: Sequence[str] = STRATA) -> DataFrame:
     """Ranks drawn for each cell of a plan by one generator that goes through the cells in planned order.
 
-    The plan has a row for each cell, a few hundred at most, and is the only thing that reaches the driver.
+    The plan has a row for each cell, ``MOST_CELLS`` at most, and is the only thing that reaches the driver.
     """
+    if plan.limit(MOST_CELLS + 1).count() > MOST_CELLS:
+        raise ValueError(f"the plan has more than {MOST_CELLS} cells; sampled_by_hash draws without the driver")
     rows = plan.collect()
-    if len(rows) > 10_000:
-        raise ValueError("the plan has too many cells for an exact draw; use hash_draw")
     rows.sort(key=lambda r: (strata.index(r[by[0]]) if r[by[0]] in strata else len(strata), r["first_seen"]))
     rng, out = random.Random(seed), []
     for r in rows:
@@ -104,21 +107,26 @@ def exact_draw(plan: DataFrame, by: Sequence[str], seed: int, strata: Sequence[s
 
 
 def sampled_exactly(rows: DataFrame, by: Sequence[str], target: int, seed: int, position: str = "line_idx", strata: Sequence[str] = STRATA) -> DataFrame:
-    """Rows drawn without replacement from each cell by rank of position."""
+    """Rows drawn without replacement from each cell by rank of position (unique); only cells and positions are ranked, not whole rows."""
     known = rows.filter(F.col(by[0]).isNotNull())
     plan = allocated(cells(known, by, position), by[0], target)
     picked = exact_draw(plan, by, seed, strata)
-    ranked = known.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(position)))
-    return ranked.join(F.broadcast(picked), [*by, "rank"], "left_semi").drop("rank")
+    ranked = known.select(*by, position).withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(position)))
+    drawn = ranked.join(F.broadcast(picked), [*by, "rank"], "left_semi").select(position)  # target rows a stratum at most
+    return known.join(small(drawn), position, "left_semi").select(rows.columns)
 
 
 def sampled_by_hash(rows: DataFrame, by: Sequence[str], target: int, seed: str, key: str = "record_key", position: str = "line_idx") -> DataFrame:
-    """The same sizes with ranks by digest of seed and key: no draw on the driver, stable when rows are added to other cells."""
+    """The same sizes with ranks by digest of seed and key: no draw on the driver, stable when rows are added to other cells.
+
+    No cell gives more than ``target`` rows, so each task passes on that many of a cell at most.
+    """
     known = rows.filter(F.col(by[0]).isNotNull())
     plan = allocated(cells(known, by, position), by[0], target).select(*by, "n")
     digest = F.sha2(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")), 256)
-    ranked = known.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(digest, position)))
-    return ranked.join(plan, list(by)).filter("rank <= n").drop("rank", "n")
+    ranked = known.select(*by, position, digest.alias("digest")).withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy("digest", position))).filter(F.col("rank") <= target)
+    drawn = ranked.join(plan, list(by)).filter("rank <= n").select(position)
+    return known.join(small(drawn), position, "left_semi").select(rows.columns)
 
 
 def gold(results: DataFrame, per_stratum: int = 200, seed: int = 20260501, version: str = "v1", exact: bool = True) -> DataFrame:
@@ -194,6 +202,16 @@ def pools(index: DataFrame) -> DataFrame:
     return index.groupBy("split").agg(F.count_if(F.col("relevance_check") == "mismatch").alias("n_mismatch"), F.count_distinct("citing_pmcid").alias("n_articles"))
 
 
+def pool_total(index: DataFrame) -> DataFrame:
+    """Distinct articles of all rows outside the reference sample, failures left out."""
+    return index.filter("split not in ('gold', 'fail')").agg(F.count_distinct("citing_pmcid").alias("n_articles"))
+
+
+def split_designs(index: DataFrame) -> DataFrame:
+    """Rows of each split and study design, failures left out, most first."""
+    return index.filter("split <> 'fail'").groupBy("split", "cited_study_design").agg(F.count(F.lit(1)).alias("n")).orderBy("split", F.desc("n"), "cited_study_design")
+
+
 def torn_articles(index: DataFrame, article: str = "citing_pmcid") -> DataFrame:
     """Articles with rows in more than one hash split; must be empty.  Least and greatest split tell, so nothing is collected."""
     rows = index.filter(~F.col("split").isin("fail", "gold"))

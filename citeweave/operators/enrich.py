@@ -32,16 +32,18 @@ def found(backwards: Column, keys: Column, ref_id: Column) -> Column:
     return F.get(backwards, (F.array_position(keys, ref_id) - 1).cast("int"))
 
 
-def edges(articles: DataFrame, ids: DataFrame) -> DataFrame:
+def edges(articles: DataFrame, ids: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """A row for each reference of each citation event of an article in the domain that leads to a cited pmid in the domain.
 
     References are found inside the row, before anything is exploded: no join by article, and no row carries all references.
+    ``known`` (pmid, a) is what is known of the citing articles; it is joined before the explosion too, once for each article.
     """
-    ids = small(ids)
-    citing = articles.join(ids, "pmid", "left_semi").withColumn("refs", usable(F.col("references"))).withColumn("keys", F.col("refs.ref_id"))
+    citing = articles.join(ids, "pmid", "left_semi")
+    citing = citing.join(known, "pmid", "left") if known is not None else citing
+    citing = citing.withColumn("refs", usable(F.col("references"))).withColumn("keys", F.col("refs.ref_id"))
     led = F.transform("citations", lambda e: F.transform(e["ref_ids"], lambda i: F.struct(e.alias("e"), found(F.col("refs"), F.col("keys"), i).alias("ref"))))
     led = F.filter(F.flatten(led), lambda x: x["ref"].isNotNull())
-    each = citing.select("pmcid", F.col("pmid").alias("citing_pmid"), "doi", "title", "journal", "year", "license", "subset", F.inline(led))
+    each = citing.select("pmcid", F.col("pmid").alias("citing_pmid"), "doi", "title", "journal", "year", "license", "subset", *(["a"] if known is not None else []), F.inline(led))
     return each.withColumn("pmid", F.col("ref.pmid")).join(ids, "pmid", "left_semi")
 
 
@@ -52,16 +54,16 @@ def enrich(articles: DataFrame, publications: DataFrame, metrics: DataFrame, fla
     reduced to the domain first; the wide one is never broadcast by hint.  ``keep_rejected``: also edges without an abstract,
     with ``has_abstract`` to count them by.
     """
-    ids = domain_ids(metrics, flag)
-    known = publications.join(small(ids), "pmid", "left_semi")
-    edge = edges(articles, ids)
-    citing = known.select(F.col("pmid").alias("citing_pmid"), F.struct("title", "journal_title", "pub_year", "mesh_descriptors", "pub_types").alias("a"))
+    ids = small(domain_ids(metrics, flag))
+    known = publications.join(ids, "pmid", "left_semi")
+    edge = edges(articles, ids, known.select("pmid", F.struct("title", "journal_title", "pub_year", "mesh_descriptors", "pub_types").alias("a")))
     cited = known.select("pmid", F.struct("doi", "title", "abstract", "journal_title", "pub_year", "mesh_descriptors", "pub_types").alias("b"))
     impact = metrics.filter(F.col(flag)).select("pmid", F.struct("citation_count", "relative_citation_ratio", "nih_percentile", "is_clinical", "is_research_article").alias("icite"))
     has = F.coalesce(F.trim("b.abstract") != "", F.lit(False))
     rows = edge.join(cited, "pmid", "left" if keep_rejected else "inner")
     rows = rows if keep_rejected else rows.filter(has)
-    rows = rows.join(citing, "citing_pmid", "left").join(impact, "pmid", "left")
+    rows = rows.join(impact, "pmid", "left")
+    # Names of the fields, and which of two sources comes first.
     out = rows.select(
         F.struct(
             "pmcid",

@@ -29,3 +29,20 @@ def most_common(df: DataFrame, column: str, position: str) -> DataFrame:
     """Values by count, the most frequent first; among equals the one seen first."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"), F.min(position).alias("first_seen"))
     return counts.orderBy(F.desc("n"), "first_seen").select(column, "n")
+
+
+def value_counts(df: DataFrame, *columns: str, none: str = "none") -> DataFrame:
+    """Rows by the values of the columns together; null strings are named."""
+    kinds = dict(df.dtypes)
+    shown = [F.coalesce(c, F.lit(none)).alias(c) if kinds[c] == "string" else F.col(c) for c in columns]
+    return df.groupBy(*shown).agg(F.count(F.lit(1)).alias("n"))
+
+
+def first_where(df: DataFrame, condition: Column, position: str) -> DataFrame:
+    """The first row, by position, that meets the condition; each task gives one at most."""
+    return df.filter(condition).orderBy(position).limit(1)
+
+
+def mismatches(df: DataFrame, column: str = "relevance_check") -> DataFrame:
+    """The rows whose cited paper doesn't fit the sentence."""
+    return df.filter(F.col(column) == "mismatch")

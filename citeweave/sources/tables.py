@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import os
+import warnings
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,19 +13,23 @@ from citeweave import schemas
 
 #: Tokens that stand for null in the citation metrics.
 NULL_TOKENS = ("", "NA", "None")
+#: Blocks of files that a broadcast may hold, some 200 bytes each.
+BLOCKS = 500_000
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """line_idx, value: every line with its ordinal over all files in order of name; blank lines have one too.
 
-    Ordinals are block offsets plus places within a block; only a count for each partition reaches the driver.
+    A line's ordinal is its place within its block of a file plus the lines of all blocks before it.  Lines of a block are read in a
+    row, so their places are differences of running numbers, and no line is shuffled: lines meet the table of blocks by broadcast
+    up to ``BLOCKS`` of these.
     """
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("m"))
     blocks = lines.groupBy("f", "b").agg(F.count(F.lit(1)).alias("n"), F.min("m").alias("low"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("f", "b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = blocks.select("f", "b", "low", before.alias("start"))  # a row for each block of a file
-    place = F.row_number().over(Window.partitionBy("f", "b").orderBy("m")) - 1
-    return lines.withColumn("place", place).join(starts, ["f", "b"]).select((F.col("start") + F.col("place")).cast("bigint").alias("line_idx"), "value")
+    starts = blocks.select("f", "b", (before - F.col("low")).alias("start"))  # a row for each block of a file
+    starts = F.broadcast(starts) if blocks.limit(BLOCKS + 1).count() <= BLOCKS else starts
+    return lines.join(starts, ["f", "b"]).select((F.col("start") + F.col("m")).cast("bigint").alias("line_idx"), "value")
 
 
 def parsed(lines: DataFrame, schema: str, on_error: str = "drop", keep_raw: bool = False) -> DataFrame:
@@ -42,12 +47,13 @@ def read_json_lines(spark: SparkSession, path: str, schema: str, on_error: str =
 
 
 def optional_table(spark: SparkSession, path: str | None, schema: str) -> DataFrame:
-    """A JSON-lines table, or an empty one where there is no such file."""
+    """A JSON-lines table, or an empty one, with a warning, where there is no such file."""
     jvm = spark.sparkContext._jvm
     if path:
         place = jvm.org.apache.hadoop.fs.Path(path)
         if place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
             return spark.read.schema(schema).json(path)
+        warnings.warn(f"{path} is not there: an empty table is used", stacklevel=2)
     return spark.createDataFrame([], schema)
 
 
@@ -99,10 +105,11 @@ def write_json_lines(df: DataFrame, path: str, compression: str = "gzip", mode:
     df.write.mode(mode).option("ignoreNullFields", not keep_nulls).option("compression", compression).json(path)
 
 
-def write_lookup(df: DataFrame, path: str, level: int = 3, mode: str = "overwrite", partition_by: str | None = None, rows_per_file: int = 0) -> None:
+def write_lookup(df: DataFrame, path: str, level: int = 3, mode: str = "overwrite", partition_by: str | None = None, rows_per_file: int = 0, row_group_mb: int = 0) -> None:
     """Parquet with zstd; with ``partition_by`` only the partitions at hand are overwritten."""
     out = df.write.mode(mode).option("compression", "zstd").option("parquet.compression.codec.zstd.level", level)
     out = out.option("maxRecordsPerFile", rows_per_file) if rows_per_file else out
+    out = out.option("parquet.block.size", row_group_mb << 20) if row_group_mb else out
     if partition_by:
         out = out.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic")
     out.parquet(path)
