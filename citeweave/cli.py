@@ -29,7 +29,7 @@ def parser() -> argparse.ArgumentParser:
     stage("publications", "baseline", "updates", "out", partitioned=False)
     stage("metrics", "csv", "out", partitions=64)
     stage("enrich", "articles", "publications", "metrics", "out", flag="is_clinical")
-    stage("extract", "enriched", "out", cache="", done="", limit=0, concurrency=16, resume=False)
+    stage("extract", "enriched", "out", cache="", done="", limit=0, concurrency=16, resume=False, endpoints="", model="offline-stub", retries=3)
     stage("dedupe", "results", "out")
     stage("gold", "results", "out", per_stratum=200, seed=20260501, by_hash=False)
     stage("split", "results", "out", gold="", seed="split-seed")
@@ -60,7 +60,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             df.write.mode("overwrite").parquet(f"{args.out}-answers")
             return spark.read.parquet(f"{args.out}-answers")
 
-        results, new = extract.extract(records, cache, extract.Stub(), extract.Settings(concurrency=args.concurrency), save)
+        settings = extract.Settings(model=args.model, endpoints=tuple(args.endpoints.split(",")) if args.endpoints else ("local",), max_retry=args.retries, concurrency=args.concurrency)
+        extractor = extract.ChatEndpoint(args.model, settings.api_key) if args.endpoints else extract.Stub()
+        results, new = extract.extract(records, cache, extractor, settings, save)
         tables.write_json_lines(results.drop("payload"), args.out, "none", "append" if args.resume else "overwrite")
         if args.cache:
             new.write.mode("append").json(args.cache)

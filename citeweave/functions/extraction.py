@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import json
+import math
+import re
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from citeweave import schemas
 from citeweave.functions.values import or_empty, or_none
 
-# What the record's closed fields may hold.
+# What the record's closed fields may hold, which fields it must have, which are capped, and its scalar fields in the order of an answer.
 CHOICES = {
     "relevance_check": ("match", "ambiguous", "mismatch"),
     "citation_purpose": ("background", "method", "result-support", "comparison", "contrast", "negative", "other"),
@@ -24,13 +28,63 @@ CAPPED, CAP = ("attributed_claim", "question", "answer", "evidence_quote_from_ci
 SCALARS = ("relevance_check", "mismatch_reason", "attributed_claim", "citation_purpose", "evidence_type", "support_strength", "cited_study_design", "question", "answer", "evidence_quote_from_cited")
 
 
+#: Fixed value: a reply's code fence.
+FENCE = r"(?i)^```(?:json)?\s*|\s*```$"
+
+
+def loads(text: str):
+    """The JSON value of a reply: of the reply without code fences, else from its first { to its last }; ValueError without one."""
+    bare = re.sub(FENCE, "", text.strip()).strip()
+    try:
+        return json.loads(bare)
+    except ValueError:
+        first, last = bare.find("{"), bare.rfind("}")
+        if 0 <= first < last:
+            return json.loads(bare[first : last + 1])
+        raise
+
+
+def dumps(record) -> str:
+    """A record as strict JSON: of a repeated key the last value, for numbers that JSON lacks null."""
+
+    def strict(x):
+        if isinstance(x, dict):
+            return {k: strict(v) for k, v in x.items()}
+        if isinstance(x, list):
+            return [strict(v) for v in x]
+        return None if isinstance(x, float) and not math.isfinite(x) else x
+
+    return json.dumps(strict(record), ensure_ascii=False)
+
+
+@F.pandas_udf(T.StringType())
+def _rescued(texts: pd.Series) -> pd.Series:
+    """The object that ``loads`` finds, as strict JSON, or null."""
+
+    def one(text):
+        try:
+            found = loads(text)
+        except ValueError:
+            return None
+        return dumps(found) if isinstance(found, dict) else None
+
+    return texts.map(one, na_action="ignore")
+
+
 def recovered(text: Column) -> Column:
-    """The JSON object in a model's reply as text, or null: the reply without code fences, else its first { to its last }."""
-    bare = F.trim(F.regexp_replace(F.trim(text), r"(?i)^```(?:json)?\s*|\s*```$", ""))
+    """The JSON object in a model's reply as text, or null, as ``loads`` finds it.
+
+    Strict JSON stays as it is and never leaves the JVM; only replies with a brace that aren't (repeated keys, NaN, or no JSON) go to Python.
+    """
+    bare = F.trim(F.regexp_replace(F.trim(text), FENCE, ""))
     first = F.locate("{", bare)
     span = F.substring(bare, first, F.length(bare) - F.locate("}", F.reverse(bare)) - first + 2)
-    object_of = lambda t: F.when(F.try_parse_json(t).isNotNull() & t.startswith("{"), t)
-    return F.coalesce(object_of(bare), F.when((first > 0) & (F.locate("}", bare) > 0), object_of(span)))
+    strict = lambda t: F.try_parse_json(t).isNotNull()
+    plain = F.when(strict(bare), F.when(bare.startswith("{"), bare))
+    # A list or a number is a value of its own: what stands inside is not looked for.
+    open_case = ~strict(bare) & (first > 0)
+    inner = F.when(open_case & (F.locate("}", bare) > first) & ~bare.startswith("[") & strict(span), span)
+    return F.coalesce(plain, inner, _rescued(F.when(open_case & inner.isNull(), text)))
 
 
 def _field(payload: Column, name: str, kind: str = "string") -> Column:
@@ -85,38 +139,37 @@ def cache_key(model: Column | str, system: Column | str, user: Column) -> Column
     return F.sha2(F.concat_ws("\0", lit(model), lit(system), user), 256)
 
 
+#: The blocks of a prompt in order: heading, and label and field of each entry.  A field is a path below citing, context or cited.
+PROMPT = (
+    ("CITED ABSTRACT", (("text", "cited.abstract"),)),
+    ("CITED WORK", (("title", "cited.title"), ("venue", "cited.journal"), ("published", "cited.year"), ("pubmed", "cited.pmid"), ("doi", "cited.doi"), ("kinds", "cited.pub_types"), ("subjects", "cited.mesh"), ("impact", "cited.icite"))),
+    ("SENTENCE WITH THE CITATION", (("text", "context.evidence_sentence"), ("heading", "context.section"), ("part", "context.section_bucket"), ("works cited here", "context.n_co_cited_refs"))),
+    ("CITING WORK", (("title", "citing.title"), ("venue", "citing.journal"), ("published", "citing.year"), ("pubmed", "citing.pmid"), ("pmc", "citing.pmcid"))),
+)
+ASK = "Answer with the one JSON object that the instructions describe. Quotes are copied from the abstract letter by letter."
+
+
 def user_prompt(citing: Column, context: Column, cited: Column, abstract_chars: int = 3500, headings: int = 15, kinds: int = 8) -> Column:
-    """The record as headed text blocks; lines of optional values are left out where there are none."""
-    icite, mesh, pub_types = cited["icite"], F.slice(F.coalesce(cited["mesh"], F.array()), 1, headings), F.slice(F.coalesce(cited["pub_types"], F.array()), 1, kinds)
-    line = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
-    listed = lambda name, items: F.when(F.size(items) > 0, line(name, F.array_join(items, ", ")))
-    flag = F.when(icite["is_clinical"].isNull(), "None").when(icite["is_clinical"], "True").otherwise("False")
-    abstract = F.substring(F.coalesce(cited["abstract"], F.lit("")), 1, abstract_chars)
-    lines = [
-        F.lit("## Citing paper"),
-        line("PMCID: ", or_none(citing["pmcid"]), "  PMID: ", or_none(citing["pmid"])),
-        line("Title: ", or_empty(citing["title"])),
-        line("Journal: ", or_empty(citing["journal"]), "  Year: ", or_empty(citing["year"], "number")),
-        F.lit(""),
-        F.lit("## Where it cites"),
-        line("Section: ", or_empty(context["section"]), "  (", or_none(context["section_bucket"]), ")"),
-        line("References in this sentence: ", or_none(context["n_co_cited_refs"])),
-        line("Sentence: ", or_empty(context["evidence_sentence"])),
-        F.lit(""),
-        F.lit("## Cited paper"),
-        line("PMID: ", or_none(cited["pmid"]), "  DOI: ", or_empty(cited["doi"])),
-        line("Title: ", or_empty(cited["title"])),
-        line("Journal: ", or_empty(cited["journal"]), "  Year: ", or_empty(cited["year"], "number")),
-        listed("Publication types: ", pub_types),
-        F.when(icite.isNotNull(), line("Impact: citations ", or_none(icite["citation_count"]), ", ratio ", or_none(icite["relative_citation_ratio"]), ", clinical ", flag)),
-        listed("Headings: ", mesh),
-        F.lit(""),
-        F.lit("Abstract:"),
-        F.when(abstract != "", abstract).otherwise("[none]"),
-        F.lit(""),
-        F.lit("Return one JSON object of the record described to you; quotes must stand in the abstract word for word."),
-    ]
-    return F.array_join(F.array_compact(F.array(*lines)), "\n")
+    """The blocks of ``PROMPT``: a heading in brackets, then ``label = value`` for each entry that has a value."""
+    whole = {"citing": citing, "context": context, "cited": cited}
+
+    def value(path: str) -> Column:
+        part, name = path.split(".")
+        c = whole[part][name]
+        if name in ("mesh", "pub_types"):
+            return F.nullif(F.array_join(F.slice(F.coalesce(c, F.array()), 1, headings if name == "mesh" else kinds), "; "), F.lit(""))
+        if name == "icite":
+            of = lambda label, field: F.concat(F.lit(f"{label} "), or_none(c[field]))
+            return F.when(c.isNotNull(), F.concat_ws(", ", of("cited", "citation_count"), of("ratio", "relative_citation_ratio"), of("clinical", "is_clinical")))
+        if name == "abstract":
+            return F.coalesce(F.nullif(F.substring(c, 1, abstract_chars), F.lit("")), F.lit("(not given)"))
+        return F.nullif(c.cast("string"), F.lit(""))
+
+    blocks = []
+    for heading, entries in PROMPT:
+        lines = [F.when(v.isNotNull(), F.concat(F.lit(f"{label} = "), v)) for label, v in ((label, value(path)) for label, path in entries)]
+        blocks.append(F.array_join(F.array_compact(F.array(F.lit(f"[{heading}]"), *lines)), "\n"))
+    return F.concat_ws("\n\n", *blocks, F.lit(ASK))
 
 
 def system_prompt() -> str:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from html.parser import HTMLParser
 from xml.parsers import expat
 
 import pandas as pd
@@ -222,20 +223,72 @@ class ArticleReader:
         return {"pmc": self.ids["pmc"], "pmids": self.ids["pmid"], "dois": self.ids["doi"], **{n: self.slots.get(n) for n in names}, "refs": refs, "paragraphs": paragraphs}
 
 
+class _Tolerant(HTMLParser):
+    """Feeds an ``ArticleReader`` with a document that isn't well-formed: end tags close what is open inside them or are left out."""
+
+    def __init__(self, reader: ArticleReader):
+        super().__init__(convert_charrefs=True)
+        self.reader, self.open = reader, []
+        self.CDATA_CONTENT_ELEMENTS = self.RCDATA_CONTENT_ELEMENTS = ()  # the names mean nothing special in articles
+
+    def handle_starttag(self, tag, attrs):
+        self.open.append(tag)
+        self.reader.start(tag, {k: v or "" for k, v in attrs})
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        self.handle_endtag(tag)
+
+    def handle_endtag(self, tag):
+        if tag in self.open:
+            while self.open:
+                last = self.open.pop()
+                self.reader.end(last)
+                if last == tag:
+                    break
+
+    def handle_data(self, data):
+        if self.open:
+            self.reader.chars(data)
+
+
+def read_article(data: bytes) -> tuple[dict | None, str]:
+    """A document's row and how it was read: ``whole``, ``mended`` if it isn't well-formed, or ``no article`` with no row."""
+    how = "whole"
+    try:
+        row = ArticleReader().read(data).row()
+    except expat.ExpatError:
+        how, reader = "mended", ArticleReader()
+        tolerant = _Tolerant(reader)
+        tolerant.feed(data.decode("utf-8", errors="replace"))
+        tolerant.close()
+        while tolerant.open:
+            reader.end(tolerant.open.pop())
+        row = reader.row()
+    return row, how if row is not None else "no article"
+
+
 def _trees(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = [c.split()[0] for c in _TREE.replace("array<struct<", "array<").split(", ")]
     for frame in frames:
         rows = []
         for subset, member, data in zip(frame["subset"], frame["member"], frame["data"], strict=True):
-            try:
-                row = ArticleReader().read(bytes(data)).row()
-            except expat.ExpatError:  # not well-formed: this document is left out
-                continue
+            row, _ = read_article(bytes(data))
             if row is not None:
                 rows.append({"subset": subset, "member": member, **row})
         yield pd.DataFrame(rows, columns=columns)
 
 
+def readings(members: DataFrame) -> DataFrame:
+    """Members by how they were read: outcome, n."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield pd.DataFrame({"outcome": [read_article(bytes(d))[1] for d in frame["data"]]})
+
+    return members.select("data").mapInPandas(run, "outcome string").groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _some(c: Column) -> Column:
     """Squeezed text, null if blank."""
     return F.nullif(squeeze(c), F.lit(""))
@@ -278,7 +331,7 @@ def events(paragraphs: Column, ref_ids: Column) -> Column:
 
 
 def parse_articles(members: DataFrame) -> DataFrame:
-    """Articles from (subset, member, data); documents that aren't well-formed or have no article are left out."""
+    """Articles from (subset, member, data); documents that aren't well-formed are mended, and those without an article left out (``readings`` counts both)."""
     trees = members.select("subset", "member", "data").mapInPandas(_trees, _TREE)
     pmc = _first(F.col("pmc"))
     year = F.coalesce(*[F.nullif(_int(F.col(c)), F.lit(0)) for c in ("year_epub", "year_ppub")], _int(F.col("year_any")))

@@ -7,6 +7,8 @@ import hashlib
 import json
 import os
 import time
+import urllib.error
+import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from typing import Protocol
@@ -79,22 +81,36 @@ class Stub:
         return Reply(f"```json\n{text}\n```" if n % 2 else text, len(user) // 4, len(text) // 4)
 
 
-_CALL = "cache_key string, ok boolean, raw_text string, usage_in int, usage_out int, spent_in int, spent_out int, latency_s double, attempts int, error_kind string, error string"
+class ChatEndpoint:
+    """An extractor over HTTP: each endpoint is a base URL that serves ``/chat/completions`` with JSON in and out.
+
+    Calls wait in threads, so that as many are under way as the settings allow.  An answer of 4xx or 5xx is an error whose
+    text is the body, in which a server says that it has no JSON mode.
+    """
+
+    def __init__(self, model: str, api_key: str = "none", timeout: float = 300.0):
+        self.model, self.api_key, self.timeout = model, api_key, timeout
+
+    def request(self, system: str, user: str, temperature: float, max_tokens: int, json_mode: bool) -> dict:
+        body = {"model": self.model, "messages": [{"role": "system", "content": system}, {"role": "user", "content": user}], "temperature": temperature, "max_tokens": max_tokens}
+        return body | ({"response_format": {"type": "json_object"}} if json_mode else {})
+
+    def _post(self, endpoint: str, body: dict) -> Reply:
+        headers = {"Content-Type": "application/json", "Authorization": f"Bearer {self.api_key}"}
+        asked = urllib.request.Request(f"{endpoint.rstrip('/')}/chat/completions", json.dumps(body).encode(), headers)
+        try:
+            with urllib.request.urlopen(asked, timeout=self.timeout) as answer:
+                found = json.load(answer)
+        except urllib.error.HTTPError as error:
+            raise ValueError(f"{error.code}: {error.read().decode(errors='replace')}") from error
+        usage = found.get("usage") or {}
+        return Reply(found["choices"][0]["message"].get("content") or "", usage.get("prompt_tokens", 0), usage.get("completion_tokens", 0))
+
+    async def complete(self, endpoint, system, user, temperature, max_tokens, json_mode) -> Reply:
+        return await asyncio.to_thread(self._post, endpoint, self.request(system, user, temperature, max_tokens, json_mode))
 
 
-def loads(text: str):
-    """The JSON value of a reply, as ``functions.extraction.recovered`` finds it."""
-    bare = text.strip()
-    if bare[:3] == "```":
-        bare = bare[3:].removeprefix("json").removeprefix("JSON")
-    bare = bare.strip().removesuffix("```").strip()
-    try:
-        return json.loads(bare)
-    except ValueError:
-        first, last = bare.find("{"), bare.rfind("}")
-        if 0 <= first < last:
-            return json.loads(bare[first : last + 1])
-        raise
+_CALL = "cache_key string, ok boolean, raw_text string, data string, usage_in int, usage_out int, spent_in int, spent_out int, latency_s double, attempts int, error_kind string, error string"
 
 
 def broken_field(record) -> str | None:
@@ -142,15 +158,15 @@ async def _answer(extractor: Extractor, settings: Settings, system: str, key: st
             kind, said = "empty", "no text"
             continue
         try:
-            record = loads(reply.text)
+            record = E.loads(reply.text)
         except ValueError as error:
             kind, said = "json_parse", str(error)
             continue
         if wrong := broken_field(record):
             kind, said = "schema_invalid", f"field {wrong}"
             continue
-        return key, True, raw, reply.usage_in, reply.usage_out, *spent, round(time.time() - began, 3), attempt + 1, None, None
-    return key, False, raw, 0, 0, *spent, round(time.time() - began, 3), settings.max_retry + 1, kind, said[:500]
+        return key, True, raw, E.dumps(record), reply.usage_in, reply.usage_out, *spent, round(time.time() - began, 3), attempt + 1, None, None
+    return key, False, raw, None, 0, 0, *spent, round(time.time() - began, 3), settings.max_retry + 1, kind, said[:500]
 
 
 def calls(prompts: DataFrame, extractor: Extractor, settings: Settings, system: str) -> DataFrame:
@@ -197,7 +213,7 @@ def extract(records: DataFrame, cache: DataFrame, extractor: Extractor, settings
     stored = cache.select(F.col("key").alias("cache_key"), F.col("raw").alias("c_raw"), F.col("data").alias("c_data"))
     looked = asked.join(stored, "cache_key", "left")
     missing = looked.filter("c_data is null").groupBy("cache_key").agg(F.first("user").alias("user"))
-    answers = save(calls(missing, extractor, settings, system).withColumn("data", F.when(F.col("ok"), E.recovered(F.col("raw_text")))))
+    answers = save(calls(missing, extractor, settings, system))
     both = looked.join(answers, "cache_key", "left")
     hit = F.col("c_data").isNotNull()
     ok = hit | F.coalesce("ok", F.lit(False))

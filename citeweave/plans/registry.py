@@ -6,6 +6,11 @@ labels.  Chat turns: conversations.  JSON payload: events.props.
 
 from __future__ import annotations
 
+import atexit
+import json
+import shutil
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +51,18 @@ def t(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 c, lit = F.col, F.lit
 
+
+def _folder(spark: SparkSession) -> str:
+    """A new folder for files that a query writes to read them: below spark.checkpoint.dir, which only a local session may lack."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="citeweave-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return f"{root.rstrip('/')}/citeweave/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
 # Joins.
 
 
@@ -146,22 +163,13 @@ def q_last_wins(spark, d):
     return lookups.last_wins(t(spark, d, "events").select("user_id", "ts", "event_id", "event_type", c("event_id").alias("e")), "user_id", ["ts", "event_id"]).select("user_id", c("e").alias("event_id"), "event_type")
 
 
-@query("SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+@query("""WITH k AS (SELECT doc_id, 'None|' || doc_id || '|None|' || substring(text, 1, 80) AS k FROM documents) SELECT doc_id FROM k
+WHERE doc_id < 700 AND k NOT IN (SELECT k FROM k JOIN labels USING (doc_id))""")
 def q_anti_resume(spark, d):
-    done = t(spark, d, "labels").select("doc_id").distinct()
-    return t(spark, d, "documents").select("doc_id").join(done, "doc_id", "left_anti")
-
-
-_GOLD = "SELECT DISTINCT item_id * 7 AS doc_id FROM benchmark"
-
-
-@query(f"""SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN 'fail' WHEN g.doc_id IS NOT NULL THEN 'gold' ELSE 'rest' END AS split
-FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id) LEFT JOIN ({_GOLD}) g USING (doc_id)""")
-def q_mark_join_gold(spark, d):
-    ok = t(spark, d, "labels").select("doc_id", lit(True).alias("ok")).distinct()
-    gold = t(spark, d, "benchmark").select((c("item_id") * 7).alias("doc_id"), lit(True).alias("gold")).distinct()
-    rows = t(spark, d, "documents").select("doc_id").join(ok, "doc_id", "left").join(F.broadcast(gold) if gold.count() < enrich.MOST_IDS else gold, "doc_id", "left")
-    return rows.select("doc_id", F.when(c("ok").isNull(), "fail").when(c("gold"), "gold").otherwise("rest").alias("split"))
+    records = _records(spark, d).select("doc_id", c("doc_id").alias("line_idx"), "input.citing", "input.context", "input.cited")
+    records = records.withColumn("cited", c("cited").withField("pmid", c("doc_id")))
+    done = records.join(t(spark, d, "labels").select("doc_id").distinct(), "doc_id", "left_semi").select(F.struct("citing", "context", "cited").alias("input"))
+    return extract.undone(records, done, 700).select(c("line_idx").alias("doc_id"))
 
 
 @query("""WITH p AS (SELECT conv_id, turn, sha256('m' || chr(0) || 's' || chr(0) || text) AS k FROM conversations), s AS (SELECT DISTINCT k FROM p WHERE turn = 0)
@@ -226,9 +234,14 @@ def q_doi_regex(spark, d):
     return t(spark, d, "documents").select("doc_id", s.alias("s")).select("doc_id", X.inline_doi(c("s")).alias("doi"), X.inline_pmid(c("s")).alias("pmid"))
 
 
-@query("SELECT doc_id, md5(substring(text, 1, 1200)) AS digest, CAST(length(substring(text, 1, 1200)) AS INTEGER) AS n FROM documents")
+_SQUEEZED = r"trim(regexp_replace(text, '[\x09-\x0D\x1c-\x20]+', ' ', 'g'))"
+
+
+@query(f"SELECT doc_id, md5(substring({_SQUEEZED}, 1, 1200)) AS digest, CAST(length(substring({_SQUEEZED}, 1, 1200)) AS INTEGER) AS n FROM documents")
 def q_raw_cap(spark, d):
-    return t(spark, d, "documents").select("doc_id", F.substring("text", 1, 1200).alias("x")).select("doc_id", F.md5(c("x").cast("binary")).alias("digest"), F.length("x").alias("n"))
+    none = lit(None).cast("string")
+    raw = F.struct(lit("r").alias("ref_id"), F.array().cast("array<string>").alias("pmids"), F.array().cast("array<string>").alias("dois"), none.alias("title"), none.alias("chapter"), none.alias("journal"), none.alias("year"), c("text").alias("raw"))
+    return t(spark, d, "documents").select("doc_id", articles.reference(raw)["raw"].alias("x")).select("doc_id", F.md5(c("x").cast("binary")).alias("digest"), F.length("x").alias("n"))
 
 
 _INT_TEXT = "CASE page_id % 4 WHEN 0 THEN ' +' || page_id || ' ' WHEN 1 THEN page_id || '.7' WHEN 2 THEN 'x' || page_id ELSE '-' || page_id END"
@@ -325,7 +338,7 @@ def q_dedupe_stats(spark, d):
 
 @query(f"SELECT attempts, coalesce(relevance, 'none') AS relevance, count(*) AS n FROM {_RESULTS_SQL} GROUP BY ALL")
 def q_value_counts(spark, d):
-    return _results(spark, d).groupBy("attempts", F.coalesce("relevance", lit("none")).alias("relevance")).agg(F.count(lit(1)).alias("n"))
+    return reports.value_counts(_results(spark, d), "attempts", "relevance")
 
 
 _STRATUM = "CASE WHEN relevance IN ('mismatch', 'ambiguous') THEN relevance WHEN relevance = 'match' THEN CASE WHEN strength IN ('strong', 'moderate', 'weak') THEN 'match_' || strength ELSE '{}' END {} END"
@@ -371,50 +384,85 @@ def q_sample_exact(spark, d):
     return curate.sampled_exactly(docs, ("lang", "source"), 40, 42, position="doc_id", strata=("de", "en", "es", "fr")).select("doc_id", "lang", "source")
 
 
-_SPLIT_SQL = """(SELECT o_orderkey, o_custkey, CASE WHEN x < 50 THEN 'val' WHEN x < 150 THEN 'test' ELSE 'train' END AS split, o_orderstatus AS relevance_check, CAST(o_custkey AS VARCHAR) AS citing_pmcid, o_orderpriority AS cited_study_design
-FROM (SELECT *, ('0x' || substring(sha256('seed|' || CAST(o_custkey AS VARCHAR)), 1, 8))::BIGINT % 1000 AS x FROM orders))"""
+_ORDER_KEY = "CAST(o_custkey AS VARCHAR) || '|' || o_orderkey || '|None|' || o_orderpriority"
+_SPLIT_SQL = f"""(SELECT o_orderkey, o_custkey, {_ORDER_KEY} AS record_key, CAST(o_custkey AS VARCHAR) AS citing_pmcid, CASE WHEN o_orderkey <> 0 THEN CAST(o_orderkey AS VARCHAR) ELSE '' END AS cited_pmid,
+CASE WHEN NOT ok THEN 'fail' WHEN o_orderkey % 17 = 0 THEN 'gold' WHEN x < 50 THEN 'val' WHEN x < 150 THEN 'test' ELSE 'train' END AS split,
+CASE WHEN NOT ok THEN 'FAIL' WHEN o_orderstatus = 'F' THEN 'mismatch' ELSE 'match' END AS relevance_check, CASE WHEN ok THEN o_orderpriority ELSE 'FAIL' END AS cited_study_design, CASE WHEN NOT ok THEN 'FAIL' WHEN o_orderkey % 2 = 0 THEN 'weak' ELSE '' END AS support_strength
+FROM (SELECT *, o_orderkey % 5 <> 1 AS ok, ('0x' || substring(sha256('seed|' || CAST(o_custkey AS VARCHAR)), 1, 8))::BIGINT % 1000 AS x FROM orders))"""
 
 
 def _split(spark, d):
-    return t(spark, d, "orders").select("o_orderkey", "o_custkey", curate.split_of(c("o_custkey").cast("string"), "seed").alias("split"), c("o_orderstatus").alias("relevance_check"), c("o_custkey").cast("string").alias("citing_pmcid"), c("o_orderpriority").alias("cited_study_design"))
+    """The split table of extraction results: an order is a result, its customer the citing article; every fifth one failed."""
+    good = c("o_orderkey") % 5 != 1
+    text = lambda x: x.cast("string")
+    source = F.struct(F.struct(text(c("o_custkey")).alias("pmcid")).alias("citing"), F.struct(lit(None).cast("int").alias("paragraph_idx"), c("o_orderpriority").alias("evidence_sentence")).alias("context"), F.struct(c("o_orderkey").alias("pmid")).alias("cited"))
+    said = F.struct(F.when(c("o_orderstatus") == "F", "mismatch").otherwise("match").alias("relevance_check"), c("o_orderpriority").alias("cited_study_design"), F.when(c("o_orderkey") % 2 == 0, "weak").alias("support_strength"))
+    rows = t(spark, d, "orders").select("o_orderkey", source.alias("input"), good.alias("ok"), F.when(good, said).alias("extracted"))
+    return curate.split_index(rows, curate.gold_keys(rows.filter("o_orderkey % 17 = 0")), "seed")
 
 
-@query(f"SELECT o_orderkey, o_custkey, split FROM {_SPLIT_SQL}")
+@query(f"SELECT record_key, citing_pmcid, cited_pmid, split, relevance_check, cited_study_design, support_strength FROM {_SPLIT_SQL}")
 def q_split(spark, d):
-    return _split(spark, d).select("o_orderkey", "o_custkey", "split")
+    return _split(spark, d).select(*schemas.SPLIT_COLUMNS)
 
 
-@query(f"SELECT split, count(*) AS n, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 6) AS pct, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 6) AS pct_of_hashed FROM {_SPLIT_SQL} GROUP BY split")
+@query(f"""SELECT split, count(*) AS n, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 6) AS pct,
+CASE WHEN split NOT IN ('fail', 'gold') THEN round(100.0::DOUBLE * count(*) / sum(CASE WHEN split NOT IN ('fail', 'gold') THEN count(*) END) OVER (), 6) END AS pct_of_hashed FROM {_SPLIT_SQL} GROUP BY split""")
 def q_split_sizes(spark, d):
     return curate.split_sizes(_split(spark, d))
 
 
-@query(f"SELECT split, count(*) FILTER (WHERE relevance_check = 'F') AS \"F\", count(*) FILTER (WHERE relevance_check = 'O') AS \"O\", count(*) FILTER (WHERE relevance_check = 'P') AS \"P\" FROM {_SPLIT_SQL} GROUP BY split")
+@query(f"SELECT split, count(*) FILTER (WHERE relevance_check = 'match') AS \"match\", count(*) FILTER (WHERE relevance_check = 'mismatch') AS mismatch, count(*) FILTER (WHERE relevance_check = 'FAIL') AS \"FAIL\" FROM {_SPLIT_SQL} GROUP BY split")
 def q_split_xtab(spark, d):
-    return curate.crosstab(_split(spark, d), "split", "relevance_check", ("F", "O", "P"))
+    return curate.crosstab(_split(spark, d), "split", "relevance_check", ("match", "mismatch", "FAIL"))
 
 
-@query(f"SELECT split, cited_study_design, count(*) AS n FROM {_SPLIT_SQL} GROUP BY ALL")
+@query(f"SELECT split, cited_study_design, count(*) AS n FROM {_SPLIT_SQL} WHERE split <> 'fail' GROUP BY ALL")
 def q_split_designs(spark, d):
-    return _split(spark, d).groupBy("split", "cited_study_design").agg(F.count(lit(1)).alias("n"))
+    return curate.split_designs(_split(spark, d))
 
 
-@query(f"SELECT split, {_STRATUM.format('other', chr(32) + 'ELSE ' + repr('other'))} AS stratum, count(*) AS n FROM (SELECT *, CASE WHEN doc_id % 10 = 0 THEN 'val' ELSE 'train' END AS split FROM {_RESULTS_SQL} WHERE ok) GROUP BY ALL")
+@query(f"SELECT split, CASE WHEN relevance_check = 'mismatch' THEN 'mismatch' WHEN support_strength = 'weak' THEN 'match_weak' ELSE 'other' END AS stratum, count(*) AS n FROM {_SPLIT_SQL} WHERE split <> 'fail' GROUP BY ALL")
 def q_split_strata(spark, d):
-    rows = _results(spark, d).filter("ok").select(F.when(c("doc_id") % 10 == 0, "val").otherwise("train").alias("split"), c("relevance").alias("relevance_check"), c("strength").alias("support_strength"))
-    return curate.split_strata(rows)
+    return curate.split_strata(_split(spark, d))
 
 
-@query(f"SELECT split, count(*) FILTER (WHERE relevance_check = 'mismatch') AS n_mismatch, count(DISTINCT citing_pmcid) AS n_articles FROM (SELECT split, citing_pmcid, CASE WHEN relevance_check = 'F' THEN 'mismatch' ELSE 'match' END AS relevance_check FROM {_SPLIT_SQL}) GROUP BY split")
+@query(f"SELECT split, count(*) FILTER (WHERE relevance_check = 'mismatch') AS n_mismatch, count(DISTINCT citing_pmcid) AS n_articles FROM {_SPLIT_SQL} GROUP BY split")
 def q_split_pools(spark, d):
-    return curate.pools(_split(spark, d).withColumn("relevance_check", F.when(c("relevance_check") == "F", "mismatch").otherwise("match")))
+    return curate.pools(_split(spark, d))
+
 
+@query(f"SELECT count(DISTINCT citing_pmcid) AS n_articles FROM {_SPLIT_SQL} WHERE split NOT IN ('gold', 'fail')")
+def q_pool_total(spark, d):
+    return curate.pool_total(_split(spark, d))
 
-@query(f"SELECT citing_pmcid, min(split) AS one, max(split) AS other FROM {_SPLIT_SQL} GROUP BY citing_pmcid HAVING count(DISTINCT split) > 1")
+
+@query(f"SELECT record_key, split FROM {_SPLIT_SQL} WHERE relevance_check = 'mismatch'")
+def q_mismatches(spark, d):
+    return reports.mismatches(_split(spark, d)).select("record_key", "split")
+
+
+@query(f"SELECT citing_pmcid, min(split) AS one, max(split) AS other FROM {_SPLIT_SQL} WHERE split NOT IN ('fail', 'gold') GROUP BY citing_pmcid HAVING count(DISTINCT split) > 1")
 def q_split_invariant(spark, d):
     return curate.torn_articles(_split(spark, d))
 
 
+@query("""SELECT c, min(split) AS one, max(split) AS other FROM (SELECT CAST(o_custkey AS VARCHAR) AS c, CASE WHEN x < 50 THEN 'val' WHEN x < 150 THEN 'test' ELSE 'train' END AS split
+FROM (SELECT *, ('0x' || substring(sha256('seed|' || CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT % 1000 AS x FROM orders)) GROUP BY c HAVING count(DISTINCT split) > 1""")
+def q_torn_articles(spark, d):
+    """Splits by record instead of by article tear articles apart; all of those are found."""
+    rows = t(spark, d, "orders").select(c("o_custkey").cast("string").alias("c"), curate.split_of(c("o_orderkey").cast("string"), "seed").alias("split"))
+    return curate.torn_articles(rows, "c")
+
+
+@query(f"SELECT record_key, doc_id, i.split FROM (SELECT o_orderkey AS doc_id, {_ORDER_KEY} AS record_key FROM orders) JOIN {_SPLIT_SQL} i USING (record_key)")
+def q_materialised(spark, d):
+    text = lambda x: x.cast("string")
+    source = F.struct(F.struct(text(c("o_custkey")).alias("pmcid")).alias("citing"), F.struct(lit(None).cast("int").alias("paragraph_idx"), c("o_orderpriority").alias("evidence_sentence")).alias("context"), F.struct(c("o_orderkey").alias("pmid")).alias("cited"))
+    rows = t(spark, d, "orders").select(c("o_orderkey").alias("doc_id"), source.alias("input"))
+    return curate.materialised(rows, _split(spark, d)).select("record_key", "doc_id", "split")
+
+
 # Lookups.
 
 
@@ -444,10 +492,13 @@ def q_abs_join(spark, d):
 FROM (SELECT l_orderkey, list(CASE WHEN l_returnflag = 'R' THEN l_partkey END) AS x FROM lineitem GROUP BY l_orderkey)""")
 def q_array_clean(spark, d):
     raw = F.when(c("l_returnflag") == "R", c("l_partkey").cast("string")).otherwise("x")
-    rows = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(raw).alias("x"))
-    ids = F.filter(F.transform("x", lambda v: V.try_int(v)), lambda v: v.isNotNull())
+    refs = F.collect_list(F.struct(raw.alias("pmid"), lit(None).cast("string").alias("doi"))).alias("references")
+    none = lambda name: lit(None).cast(dict(x.split(" ", 1) for x in _PUBMED_FIELDS)[name]).alias(name)
+    rows = t(spark, d, "lineitem").groupBy(c("l_orderkey").cast("string").alias("pmid")).agg(refs)
+    rows = rows.select("pmid", "references", *[none(x.split(" ", 1)[0]) for x in _PUBMED_FIELDS if not x.startswith(("pmid ", "references "))])
+    ids = c("reference_pmids")
     total = F.aggregate(ids, lit(None).cast("bigint"), lambda a, v: F.coalesce(a, lit(0).cast("bigint")) + v)
-    return rows.select("l_orderkey", F.size(ids).alias("n_ids"), total.alias("sum_ids"))
+    return lookups.publications(rows).select(c("pmid").alias("l_orderkey"), F.size(ids).alias("n_ids"), total.alias("sum_ids"))
 
 
 @query("SELECT o_orderkey AS pmid, o_totalprice FROM orders ORDER BY o_orderkey")
@@ -455,17 +506,65 @@ def q_sorted_index(spark, d):
     return lookups.sorted_lookup(t(spark, d, "orders").select(c("o_orderkey").alias("pmid"), "o_totalprice"))
 
 
-@query("SELECT 'base' AS part, doc_id FROM documents UNION ALL SELECT 'update', doc_id FROM labels")
+_PUBMED_FIELDS = ("pmid string", "article_ids array<struct<id_type:string,value:string>>", "title string", "abstract array<struct<label:string,text:string>>", "journal struct<title:string,iso_abbrev:string,pub_year:string>", "article_date struct<year:string>", "publication_types array<string>", "mesh_headings array<struct<descriptor_name:string>>", "references array<struct<pmid:string,doi:string>>")
+
+
+def _pubmed(spark, d, update: bool):
+    """Source rows of parts, those of the update with another title."""
+    pair = lambda a, b, x, y: F.struct(x.cast("string").alias(a), y.cast("string").alias(b))
+    key, none = c("p_partkey").cast("string"), lit(None)
+    p = t(spark, d, "part").filter("p_partkey % 3 = 0" if update else "true")
+    return p.select(
+        F.when(c("p_size") % 11 == 0, F.concat(lit("x"), key)).otherwise(key).alias("pmid"),
+        F.array(pair("id_type", "value", lit("pubmed"), key), pair("id_type", "value", lit("DOI"), F.concat(lit("10.1/"), key)), pair("id_type", "value", lit("doi"), lit("second"))).alias("article_ids"),
+        (F.concat(lit("new "), "p_name") if update else c("p_name")).alias("title"),
+        F.when(c("p_size") % 7 > 0, F.array(pair("label", "text", lit("BACKGROUND"), c("p_type")), pair("label", "text", none, c("p_brand")), pair("label", "text", lit("L"), lit("")))).otherwise(F.array(pair("label", "text", lit("L"), none))).alias("abstract"),
+        F.struct(c("p_brand").alias("title"), lit("iso").alias("iso_abbrev"), F.when(c("p_size") % 4 == 0, "Winter").otherwise(c("p_size").cast("string")).alias("pub_year")).alias("journal"),
+        F.struct(F.when(c("p_size") % 2 == 0, (c("p_size") + 1900).cast("string")).alias("year")).alias("article_date"),
+        F.when(c("p_size") % 3 == 0, F.array(lit("Review"))).alias("publication_types"),
+        F.array(F.struct(c("p_type").alias("descriptor_name")), F.struct(none.cast("string").alias("descriptor_name")), F.struct(lit("").alias("descriptor_name"))).alias("mesh_headings"),
+        F.array(pair("pmid", "doi", lit("12"), lit("d1")), pair("pmid", "doi", lit("x"), none), F.when(lit(False), pair("pmid", "doi", none, none)), pair("pmid", "doi", key, lit(""))).alias("references"),
+    )
+
+
+@query("""SELECT p_partkey AS pmid, '10.1/' || p_partkey AS doi, CASE WHEN p_partkey % 3 = 0 THEN 'new ' || p_name ELSE p_name END AS title, CASE WHEN p_size % 7 > 0 THEN 'BACKGROUND: ' || p_type || chr(10) || chr(10) || p_brand END AS abstract, p_brand AS journal_title, 'iso' AS journal_iso,
+CAST(CASE WHEN p_size % 2 = 0 THEN p_size + 1900 ELSE p_size END AS INTEGER) AS pub_year, CASE WHEN p_size % 3 = 0 THEN 'Review' ELSE '' END AS pub_types, p_type AS mesh, '12,' || p_partkey AS refs, 'd1' AS dois, CAST(p_partkey // 1000000 AS INTEGER) AS pmid_bucket FROM part WHERE p_size % 11 <> 0""")
+def q_publications(spark, d):
+    """Baseline and updates written as shards, read with their precedence, and the last row of each id kept."""
+    folders = [f"{_folder(spark)}/{name}" for name in ("baseline", "updates")]
+    for folder, update in zip(folders, (False, True), strict=True):
+        _pubmed(spark, d, update).write.parquet(folder)
+    rows = lookups.latest_publications(tables.read_pubmed(spark, *folders))
+    joined = lambda name, alias: F.array_join(name, ",").alias(alias)
+    return rows.select("pmid", "doi", "title", "abstract", "journal_title", "journal_iso", "pub_year", joined("pub_types", "pub_types"), joined("mesh_descriptors", "mesh"), joined("reference_pmids", "refs"), joined("reference_dois", "dois"), lookups.bucket(c("pmid")).alias("pmid_bucket"))
+
+
+@query("SELECT 'base' AS part, CAST(p_partkey AS BIGINT) AS id FROM part WHERE p_size % 11 <> 0 UNION ALL SELECT 'update', p_partkey FROM part WHERE p_partkey % 3 = 0 AND p_size % 11 <> 0")
 def q_union_dirs(spark, d):
-    return t(spark, d, "documents").select(lit("base").alias("part"), "doc_id").unionByName(t(spark, d, "labels").select(lit("update").alias("part"), "doc_id"))
+    folders = [f"{_folder(spark)}/{name}" for name in ("baseline", "updates")]
+    for folder, update in zip(folders, (False, True), strict=True):
+        _pubmed(spark, d, update).write.parquet(folder)
+    rows = lookups.publications(tables.read_pubmed(spark, *folders))
+    return rows.select(F.when(c("src_rank") == 0, "base").otherwise("update").alias("part"), c("pmid").alias("id"))
 
 
 @query("""SELECT c_custkey AS pmid, CASE WHEN c_custkey % 7 IN (0, 1, 2) THEN NULL ELSE c_name END AS journal, CASE c_custkey % 5 WHEN 0 THEN true WHEN 1 THEN true WHEN 2 THEN false WHEN 3 THEN false END AS is_clinical,
 CASE WHEN c_custkey % 4 <> 0 THEN CAST(c_nationkey AS INTEGER) END AS citation_count FROM customer""")
 def q_csv_nulls(spark, d):
     pick = lambda k, *values: F.element_at(F.array(*[lit(v) for v in values]), (c("c_custkey") % k).cast("int") + 1)
-    raw = t(spark, d, "customer").select(c("c_custkey").alias("pmid"), F.when(c("c_custkey") % 7 > 2, c("c_name")).otherwise(pick(7, "", "NA", "None", "", "", "", "")).alias("journal"), pick(5, "True", "1", "FALSE", "0", "maybe").alias("is_clinical"), F.when(c("c_custkey") % 4 == 0, "n/a").otherwise(c("c_nationkey").cast("string")).alias("citation_count"))
-    return raw.select("pmid", *[tables._typed(c(n), schemas.ICITE[n]).alias(n) for n in ("journal", "is_clinical", "citation_count")])
+    raw = t(spark, d, "customer").select(c("c_custkey").alias("pmid"), F.when(c("c_custkey") % 7 > 2, c("c_name")).otherwise(pick(7, "", "NA", "None", "", "", "", "")).alias("journal"), pick(5, "True", "1", "FALSE", "0", "maybe").alias("is_clinical"), F.when(c("c_custkey") % 4 == 0, "n/a").otherwise(c("c_nationkey").cast("string")).alias("citation_count"), lit('a "quoted", one').alias("extra"))
+    known = {"pmid", "journal", "is_clinical", "citation_count"}
+    path = _folder(spark)
+    raw.select("extra", *[c(n) if n in known else lit("").alias(n) for n in schemas.ICITE]).write.csv(path, header=True, escape='"', emptyValue="")
+    return tables.read_citation_metrics(spark, path).select("pmid", "journal", "is_clinical", "citation_count")
+
+
+@query("SELECT line_idx, value FROM (SELECT row_number() OVER (ORDER BY n_nationkey) - 1 AS line_idx, n_name AS value FROM nation)")
+def q_lines(spark, d):
+    """Lines of a written file with their ordinals."""
+    path = _folder(spark)
+    t(spark, d, "nation").coalesce(1).sortWithinPartitions("n_nationkey").select("n_name").write.text(path)
+    return tables.read_lines(spark, path)
 
 
 # Extraction and use.
@@ -491,20 +590,50 @@ def q_validate_enum(spark, d):
     return t(spark, d, "events").select("event_id", F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()])).alias("j")).select("event_id", (F.size(E.problems(c("j"))) == 0).alias("valid"))
 
 
-_PROMPT_SQL = r"""md5('## Citing paper' || chr(10) || 'PMCID: None  PMID: ' || doc_id || chr(10) || 'Title: ' || chr(10) || 'Journal: ' || source || '  Year: ' || chr(10) || chr(10) || '## Where it cites' || chr(10) || 'Section: ' || '  (other)' || chr(10)
-|| 'References in this sentence: 1' || chr(10) || 'Sentence: ' || substring(text, 1, 40) || chr(10) || chr(10) || '## Cited paper' || chr(10) || 'PMID: None  DOI: ' || chr(10) || 'Title: ' || lang || chr(10) || 'Journal:   Year: 1999' || chr(10)
-|| 'Headings: a, b' || chr(10) || chr(10) || 'Abstract:' || chr(10) || CASE WHEN text = '' THEN '[none]' ELSE substring(text, 1, 3500) END || chr(10) || chr(10) || 'Return one JSON object of the record described to you; quotes must stand in the abstract word for word.')"""
+_GOOD = {"relevance_check": "match", "attributed_claim": "a", "citation_purpose": "method", "evidence_type": "other", "support_strength": "weak", "cited_study_design": "rct", "question": "q", "answer": "x"}
+_FAULTS: list[tuple[str, dict]] = [
+    ("", {}),
+    *[(name, {name: None}) for name in E.REQUIRED],
+    *[(name, {name: 7}) for name in E.REQUIRED],
+    *[(name, {name: "no such value"}) for name in E.CHOICES if name != "answer_grounded_in"],
+    *[(name, {name: "x" * (E.CAP + 1)}) for name in E.CAPPED],
+    ("", {name: "é" * E.CAP for name in E.CAPPED}),
+    ("mismatch_reason", {"mismatch_reason": []}),
+    ("answer_grounded_in", {"answer_grounded_in": ["both", "neither"]}),
+    ("answer_grounded_in", {"answer_grounded_in": "both"}),
+    ("", {"answer_grounded_in": ["both", "cited_abstract"], "more": [1]}),
+    ("statistic_extraction", {"statistic_extraction": {"metric": "m"}}),
+    ("statistic_extraction", {"statistic_extraction": {"metric": "m", "value": 1}}),
+    ("statistic_extraction", {"statistic_extraction": {"metric": "m", "value": "v", "p_value": 0.1}}),
+    ("statistic_extraction", {"statistic_extraction": {"metric": "m", "value": "v", "n_subjects": 1.5}}),
+    ("", {"statistic_extraction": {"metric": "m", "value": "v", "n_subjects": 12, "ci_or_range": "r"}}),
+    ("", {"statistic_extraction": None}),
+]
+
+
+@query(f"SELECT event_id, list_extract({[name for name, _ in _FAULTS]!r}, CAST(event_id % {len(_FAULTS)} AS INTEGER) + 1) AS broken FROM events")
+def q_validate_rules(spark, d):
+    """Each rule of a record broken in turn."""
+    records = [json.dumps({k: v for k, v in (_GOOD | change).items() if not (v is None and k in E.REQUIRED)}, ensure_ascii=False) for _, change in _FAULTS]
+    cases = spark.createDataFrame(list(enumerate(records)), "k long, j string").select("k", F.array_join(E.problems(c("j")), ",").alias("broken"))
+    return t(spark, d, "events").select("event_id", (c("event_id") % len(_FAULTS)).alias("k")).join(F.broadcast(cases), "k").select("event_id", "broken")
+
+
+_LIMITED = "coalesce(nullif(substring(text, 1, 3500), ''), '(not given)')"
+_PROMPT_SQL = f"""'[CITED ABSTRACT]' || chr(10) || 'text = ' || {_LIMITED} || chr(10) || chr(10) || '[CITED WORK]' || chr(10) || 'title = ' || lang || chr(10) || 'published = 1999' || chr(10) || 'subjects = a; b' || chr(10) || chr(10)
+|| '[SENTENCE WITH THE CITATION]' || chr(10) || CASE WHEN text <> '' THEN 'text = ' || text || chr(10) ELSE '' END || 'part = other' || chr(10) || 'works cited here = 1' || chr(10) || chr(10)
+|| '[CITING WORK]' || chr(10) || 'venue = ' || source || chr(10) || 'pubmed = ' || doc_id || chr(10) || chr(10) || '{E.ASK}'"""
 
 
 def _records(spark, d):
     none = lambda kind: lit(None).cast(kind)
     citing = F.struct(none("string").alias("pmcid"), c("doc_id").alias("pmid"), none("string").alias("doi"), lit("").alias("title"), c("source").alias("journal"), none("int").alias("year"), none("string").alias("license"), none("string").alias("subset"), none("array<string>").alias("mesh"), none("array<string>").alias("pub_types"))
-    context = F.struct(none("string").alias("section"), lit("other").alias("section_bucket"), none("int").alias("paragraph_idx"), lit(False).alias("in_table"), lit(False).alias("in_fig"), F.substring("text", 1, 40).alias("evidence_sentence"), lit(1).alias("n_co_cited_refs"), F.array(lit("r")).alias("co_cited_ref_ids"))
+    context = F.struct(none("string").alias("section"), lit("other").alias("section_bucket"), none("int").alias("paragraph_idx"), lit(False).alias("in_table"), lit(False).alias("in_fig"), c("text").alias("evidence_sentence"), lit(1).alias("n_co_cited_refs"), F.array(lit("r")).alias("co_cited_ref_ids"))
     cited = F.struct(lit("r").alias("ref_id"), none("bigint").alias("pmid"), none("string").alias("doi"), c("lang").alias("title"), c("text").alias("abstract"), none("string").alias("journal"), lit(1999).alias("year"), F.array(lit("a"), lit("b")).alias("mesh"), none("array<string>").alias("pub_types"), none(schemas.IMPACT).alias("icite"))
     return t(spark, d, "documents").select("doc_id", F.struct(citing.alias("citing"), context.alias("context"), cited.alias("cited")).alias("input"))
 
 
-@query(f"SELECT doc_id, {_PROMPT_SQL} AS digest FROM documents")
+@query(f"SELECT doc_id, md5({_PROMPT_SQL}) AS digest FROM documents")
 def q_prompt(spark, d):
     return _records(spark, d).select("doc_id", F.md5(E.user_prompt(c("input.citing"), c("input.context"), c("input.cited")).cast("binary")).alias("digest"))
 
@@ -536,16 +665,83 @@ def q_parse_jats(spark, d):
     return rows.select("pmcid", "pmid", "n_refs", "n_citations", F.explode("citations").alias("e")).select("pmcid", "pmid", "n_refs", "n_citations", c("e.section").alias("section"), c("e.paragraph_idx").alias("paragraph_idx"), c("e.sentence").alias("sentence"), c("e.ref_ids")[0].alias("ref_id"))
 
 
-@query()
+def _article(spark, d):
+    """Articles with sections within sections, tables, nested paragraphs and both kinds of reference; years, licences and form vary, every fifth lacks its last tags."""
+    k = c("doc_id").cast("string")
+    when = lambda test, x, other="": F.when(F.expr(test), lit(x)).otherwise(other)
+    parts = [
+        lit('<article><front><journal-meta><journal-title-group><journal-title>J Test</journal-title></journal-title-group></journal-meta><article-meta><article-id pub-id-type="pmc">'), k,
+        lit('</article-id><article-id pub-id-type="pmid">'), when("doc_id % 4 = 0", "n/a"), when("doc_id % 4 > 0", " 77 "), lit('</article-id><title-group><article-title>A <italic>b</italic> c</article-title></title-group><pub-date pub-type="ppub"><year>2001</year></pub-date>'),
+        when("doc_id % 2 = 0", '<pub-date pub-type="epub"><year>2002</year></pub-date>'), when("doc_id % 3 = 0", '<permissions><license license-type="open-access"><license-p>Text</license-p></license></permissions>', '<permissions><license><license-p>Free  text</license-p></license></permissions>'),
+        lit("""</article-meta></front><body><sec><title>Methods</title><p>No cites here.</p><p>Alpha works <xref ref-type="bibr" rid="r1">1</xref>. Beta fails. Gamma <xref ref-type="bibr" rid="r1 r2">1,2</xref> is fine.</p>
+<sec><p>Tail after dot.<xref ref-type="bibr" rid="r2">2</xref> Next sentence.</p></sec><table-wrap><p>Cell <xref ref-type="bibr" rid="r1">1</xref>.</p><p>Cell <xref ref-type="bibr" rid="r9">9</xref>.</p></table-wrap></sec>
+<sec><title>Discussion</title><p>Outer start. <list><list-item><p>Inner <xref ref-type="bibr" rid="r1">1</xref>.</p></list-item></list> Outer end.</p><fig><p>Seen <xref ref-type="bibr" rid="r2">2</xref>.</p></fig></sec></body><back><ref-list><ref id="r1"><element-citation><article-title>T1</article-title><source>S1</source><year>1999</year><pub-id pub-id-type="pmid">"""), k,
+        lit('</pub-id></element-citation></ref><ref id="r2"><mixed-citation>Some raw text. PMID: 222333. doi 10.1000/xyz.1).</mixed-citation></ref><ref><mixed-citation>no id</mixed-citation></ref>'), when("doc_id % 5 > 0", "</ref-list></back></article>"),
+    ]
+    return t(spark, d, "documents").select(lit("oa_comm").alias("subset"), F.concat(k, lit(".xml")).alias("member"), F.concat(*parts).cast("binary").alias("data"))
+
+
+_ARTICLE_SQL = "'PMC' || doc_id AS pmcid, CASE WHEN doc_id % 4 > 0 THEN 77 END AS pmid, 'A b c' AS title, 'J Test' AS journal, CAST(CASE WHEN doc_id % 2 = 0 THEN 2002 ELSE 2001 END AS INTEGER) AS year, CASE WHEN doc_id % 3 = 0 THEN 'open-access' ELSE 'Free text' END AS license"
+
+
+@query(f"""SELECT {_ARTICLE_SQL}, 2 AS n_refs, 7 AS n_citations, section, paragraph_idx, ref_ids, sentence, in_table, in_fig FROM documents CROSS JOIN (VALUES ('Methods', 1, 'r1', 'Alpha works .', false, false), ('Methods', 1, 'r1,r2', 'Gamma is fine.', false, false),
+('Methods', 2, 'r2', 'Tail after dot. Next sentence.', false, false), ('Methods', 3, 'r1', 'Cell .', true, false), ('Discussion', 5, 'r1', 'Inner .', false, false), ('Discussion', 6, 'r1', 'Inner .', false, false), ('Discussion', 7, 'r2', 'Seen .', false, true)) v(section, paragraph_idx, ref_ids, sentence, in_table, in_fig)""")
+def q_article_events(spark, d):
+    rows = articles.parse_articles(_article(spark, d)).select("pmcid", "pmid", "title", "journal", "year", "license", "n_refs", "n_citations", F.explode("citations").alias("e"))
+    return rows.select("pmcid", "pmid", "title", "journal", "year", "license", "n_refs", "n_citations", "e.section", "e.paragraph_idx", F.array_join("e.ref_ids", ",").alias("ref_ids"), "e.sentence", "e.in_table", "e.in_fig")
+
+
+@query("""SELECT 'PMC' || doc_id AS pmcid, 'r1' AS ref_id, doc_id AS pmid, CAST(NULL AS VARCHAR) AS doi, 'T1' AS title, 'S1' AS journal, 1999 AS year, 'T1S11999' || doc_id AS raw FROM documents
+UNION ALL SELECT 'PMC' || doc_id, 'r2', 222333, '10.1000/xyz.1', NULL, NULL, NULL, 'Some raw text. PMID: 222333. doi 10.1000/xyz.1).' FROM documents""")
+def q_article_references(spark, d):
+    return articles.parse_articles(_article(spark, d)).select("pmcid", F.inline("references"))
+
+
+@query("SELECT CASE WHEN doc_id % 5 > 0 THEN 'whole' ELSE 'mended' END AS outcome, count(*) AS n FROM documents GROUP BY ALL")
+def q_readings(spark, d):
+    return articles.readings(_article(spark, d))
+
+
+@query("SELECT count(*) AS n_articles, 7 * count(*) AS n_citations, 2 * count(*) AS n_refs FROM documents")
+def q_article_totals(spark, d):
+    return articles.totals(articles.parse_articles(_article(spark, d)))
+
+
+def _stub_sql() -> str:
+    """What the stub answers, from the first 32 bits n of the prompt's digest."""
+    pick = lambda name, k: f"list_extract({list(E.CHOICES[name])!r}, CAST((n >> {k}) % {len(E.CHOICES[name])} AS INTEGER) + 1)"
+    return f"""(SELECT doc_id, length(u) // 4 AS usage_in, n, {pick('relevance_check', 0)} AS relevance_check,
+CASE WHEN {pick('relevance_check', 0)} = 'match' THEN {pick('support_strength', 9)} ELSE 'insufficient-context' END AS support_strength, (n >> 16) % 1000 AS bad
+FROM (SELECT doc_id, u, ('0x' || substring(sha256(u), 1, 8))::BIGINT AS n FROM (SELECT doc_id, {_PROMPT_SQL} AS u FROM documents)))"""
+
+
+@query(f"SELECT doc_id, true AS ok, CAST(CASE WHEN bad < 300 THEN 2 ELSE 1 END AS INTEGER) AS attempts, CAST(usage_in AS INTEGER) AS usage_in, relevance_check, support_strength FROM {_stub_sql()}")
 def q_extract_stub(spark, d):
     empty = spark.createDataFrame([], extract.CACHE)
     results, _ = extract.extract(_records(spark, d).select("doc_id", "input"), empty, extract.Stub(0.3), extract.Settings())
-    return results.select(c("input.citing.pmid").alias("doc_id"), "ok", "attempts", "usage_in", "usage_out", c("extracted.relevance_check").alias("relevance_check"), c("extracted.support_strength").alias("support_strength"))
+    return results.select(c("input.citing.pmid").alias("doc_id"), "ok", "attempts", "usage_in", c("extracted.relevance_check").alias("relevance_check"), c("extracted.support_strength").alias("support_strength"))
+
+
+@query(f"SELECT doc_id, true AS ok, CAST(CASE WHEN doc_id % 3 = 0 THEN 0 ELSE 1 END AS INTEGER) AS attempts, CASE WHEN doc_id % 3 = 0 THEN 'stored' ELSE relevance_check END AS relevance_check FROM {_stub_sql()}")
+def q_extract_cached(spark, d):
+    """Prompts of every third record have a stored answer, which is taken without a call."""
+    records = _records(spark, d).select("doc_id", "input")
+    user = E.user_prompt(c("input.citing"), c("input.context"), c("input.cited"))
+    cache = records.filter("doc_id % 3 = 0").select(E.cache_key("offline-stub", E.system_prompt(), user).alias("key"), lit("raw").alias("raw"), lit('{"relevance_check": "stored"}').alias("data"))
+    results, _ = extract.extract(records, cache, extract.Stub(), extract.Settings())
+    return results.select(c("input.citing.pmid").alias("doc_id"), "ok", "attempts", c("extracted.relevance_check").alias("relevance_check"))
+
+
+@query("SELECT 'ok' AS outcome, count(*) AS n FROM documents")
+def q_call_counts(spark, d):
+    empty = spark.createDataFrame([], extract.CACHE)
+    results, _ = extract.extract(_records(spark, d).select("doc_id", "input"), empty, extract.Stub(0.3), extract.Settings())
+    return extract.call_counts(results).select("outcome", "n")
 
 
 @query("SELECT doc_id FROM documents WHERE lang = 'en' ORDER BY doc_id LIMIT 1")
 def q_first_record(spark, d):
-    return t(spark, d, "documents").filter("lang = 'en'").select("doc_id").orderBy("doc_id").limit(1)
+    return reports.first_where(t(spark, d, "documents").select("doc_id", "lang"), c("lang") == "en", "doc_id").select("doc_id")
 
 
 @query("SELECT count(*) AS n_seen, count(*) FILTER (WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size <= 10)) AS n_hits FROM lineitem")

@@ -88,6 +88,11 @@ def read_stored_archives(spark: SparkSession, glob: str, suffix: str = ".xml") -
     return spark.read.format("binaryFile").load(glob).select("path", "content").mapInPandas(members, MEMBERS)
 
 
+def manifest(spark: SparkSession, glob: str) -> DataFrame:
+    """name, size of the files of any store that Spark lists: no file's content is read."""
+    return spark.read.format("binaryFile").load(glob).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size"))
+
+
 def undone(found: DataFrame, done: DataFrame, key: str = "archive") -> DataFrame:
     """Rows whose key the manifest ``done`` (key, size) doesn't list with a size above 0."""
     return found.join(done.filter("size > 0").select(key), key, "left_anti")

@@ -51,11 +51,24 @@ def test_article(spark):
 def test_odd_documents(spark):
     texts = ["<article><unclosed></article>", "<other/>", "<set><article><front/></article></set>", "<article><front><article-meta><title-group><article-title> </article-title></title-group><article-id pub-id-type='pmcid'>PMC7</article-id></article-meta></front><body><sec><p>Early <xref ref-type='bibr' rid='a'>1</xref>.</p><title>Late</title></sec></body><back><ref id='a'><mixed-citation/></ref></back></article>"]
     rows = sorted(articles.parse_articles(members(spark, texts)).collect(), key=lambda r: r["source_xml"])
-    assert [r["source_xml"] for r in rows] == ["2.xml", "3.xml"]
+    # The first isn't well-formed and is mended; the second has no article.
+    assert [r["source_xml"] for r in rows] == ["0.xml", "2.xml", "3.xml"] and rows.pop(0)["n_refs"] == 0
+    assert {r["outcome"]: r["n"] for r in articles.readings(members(spark, texts)).collect()} == {"whole": 2, "mended": 1, "no article": 1}
     assert rows[0]["pmcid"] is None and rows[0]["n_citations"] == 0
     assert rows[1]["pmcid"] == "PMC7" and rows[1]["title"] is None and rows[1]["citations"][0]["section"] == "Late"
     total = articles.totals(articles.parse_articles(members(spark, texts))).first()
-    assert (total["n_articles"], total["n_citations"], total["n_refs"]) == (2, 1, 1)
+    assert (total["n_articles"], total["n_citations"], total["n_refs"]) == (3, 1, 1)
+
+
+def test_mended_documents(spark):
+    """Entities without a definition, bare ampersands, bad bytes, crossed and missing end tags lose no event."""
+    whole = ARTICLE.encode()
+    broken = [whole.replace(b"Alpha works", b"Alpha &nbsp; R&D \xff works"), whole.replace(b"</back></article>", b""), whole.replace(b"A <italic>b</italic> c", b"A <italic>b <bold></italic>x</bold> c")]
+    want = articles.parse_articles(members(spark, [ARTICLE])).first()
+    for data in broken:
+        row = articles.parse_articles(spark.createDataFrame([("oa_comm", "0.xml", data)], "subset string, member string, data binary")).first()
+        assert (row["pmcid"], row["n_citations"], row["n_refs"]) == (want["pmcid"], want["n_citations"], want["n_refs"])
+        assert articles.read_article(data)[1] == "mended"
 
 
 def test_archives(spark, tmp_path):
@@ -74,6 +87,8 @@ def test_archives(spark, tmp_path):
     assert archives.read_archives(spark, str(tmp_path), "oa_comm", limit=1).collect()[0]["archive"] == "a.tar.gz"
     stored = archives.read_stored_archives(spark, f"{tmp_path}/*/*.tar.gz")
     assert stored.count() == 3 and set(stored.columns) == set(rows.columns)
+    listed = archives.manifest(spark, f"{tmp_path}/*/*.tar.gz").collect()
+    assert {r["name"]: r["size"] for r in listed} == {n: (tmp_path / s / n).stat().st_size for s, n in (("oa_comm", "a.tar.gz"), ("oa_comm", "b.tar.gz"), ("oa_other", "c.tar.gz"))}
     done = spark.createDataFrame([("a.tar.gz", 10), ("b.tar.gz", 0)], "archive string, size long")
     assert sorted(r["archive"] for r in archives.undone(rows, done).collect()) == ["b.tar.gz", "c.tar.gz"]
 

@@ -1,6 +1,8 @@
 """Extraction with its cache and retries, JSON lines, sinks, releases, streams, and the driver's contract."""
 
+import http.server
 import json
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,7 +58,7 @@ def test_extraction(spark, tmp_path):
     assert again.first()["extracted"]["support_strength"] in E.CHOICES["support_strength"]
     assert {"quote_in_abstract", "statistic_missing"} <= set(extract.quality_flags(again).columns)
     prompt = records(spark).select(E.user_prompt(F.col("input.citing"), F.col("input.context"), F.col("input.cited"))).first()[0]
-    assert "Impact: citations 3, ratio 0.5, clinical True" in prompt and prompt.count("h, ") == 14 and "DOI: \n" in prompt
+    assert "impact = cited 3, ratio 0.5, clinical true" in prompt and prompt.count("h; ") == 14 and "doi" not in prompt
 
 
 def test_failures(spark):
@@ -135,3 +137,54 @@ def test_incremental_runs(spark, tmp_path):
     seen = []
     streaming.run_batches(spark, source, "a int", lambda df, k: seen.append(df.count()), str(tmp_path / "check2"))
     assert sum(seen) == 3
+
+
+ODD_REPLIES = ['{"a": NaN}', '{"a": 1, "a": 2}', '[{"a": 1}]', 'Sure: [1] {"a": {"b": -Infinity}} ok', "[note] {\"a\": 1}", "```json\n{\"a\": 1}\n```", "{a} {b}", "", "7", "} {", '{"é": "ü"}', None]
+
+
+def test_recovered_as_loads(spark):
+    got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(ODD_REPLIES)], "i int, t string").orderBy("i").select(E.recovered(F.col("t"))).collect()]
+    for text, found in zip(ODD_REPLIES, got, strict=True):
+        try:
+            wanted = E.loads(text or "")
+        except ValueError:
+            wanted = None
+        assert (json.loads(found) if found is not None else None) == (json.loads(E.dumps(wanted)) if isinstance(wanted, dict) else None)
+
+
+class _Server(http.server.BaseHTTPRequestHandler):
+    """Refuses JSON mode, then answers with the user's text as a record with a repeated key and NaN."""
+
+    def do_POST(self):
+        body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+        if "response_format" in body:
+            return self._say(400, {"error": "response_format is not supported"})
+        record = {**GOOD, "question": body["messages"][1]["content"][:20]}
+        text = json.dumps(record)[:-1] + ', "answer": "last", "other": NaN}'
+        return self._say(200, {"choices": [{"message": {"content": text}}], "usage": {"prompt_tokens": 5, "completion_tokens": 7}})
+
+    def _say(self, status, body):
+        data = json.dumps(body).encode()
+        self.send_response(status)
+        self.send_header("Content-Length", str(len(data)))
+        self.end_headers()
+        self.wfile.write(data)
+
+    def log_message(self, *args):
+        pass
+
+
+def test_calls_over_http(spark):
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), _Server)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        url = f"http://127.0.0.1:{server.server_port}"
+        settings = extract.Settings(model="m", endpoints=(url, f"{url}/"))
+        prompts = spark.createDataFrame([(f"k{i}", f"prompt {i}") for i in range(5)], "cache_key string, user string").coalesce(1)
+        rows = extract.calls(prompts, extract.ChatEndpoint("m"), settings, "system").collect()
+        assert all(r["ok"] and json.loads(r["data"])["answer"] == "last" and json.loads(r["data"])["other"] is None and r["usage_out"] == 7 for r in rows)
+        assert max(r["attempts"] for r in rows) == 2 and {json.loads(r["data"])["question"] for r in rows} == {f"prompt {i}" for i in range(5)}
+    finally:
+        server.shutdown()
+    refused = extract.calls(prompts.limit(1), extract.ChatEndpoint("m", timeout=2), extract.Settings(endpoints=(url,), max_retry=1), "system").first()
+    assert not refused["ok"] and refused["error_kind"] == "api_error" and refused["attempts"] == 2
