@@ -181,12 +181,16 @@ def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int, fragments: in
     pairs = saved(pairs, "jaccard-pairs")
     part = lambda t: F.pmod(F.shiftright(t, 60), F.lit(fragments))
     segments = F.transform(F.sequence(F.lit(0), F.lit(fragments - 1)), lambda f: F.struct(f.alias("f"), F.filter("tokens", lambda t: part(t) == f).alias("t")))
-    wanted = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
-    cut = saved(sets.join(wanted, "sig", "left_semi").select("sig", "n", F.inline(segments)), "jaccard-segments")
-    a = cut.select(F.col("sig").alias("a"), F.col("n").alias("na"), "f", F.col("t").alias("ta"))
-    b = cut.select(F.col("sig").alias("b"), F.col("n").alias("nb"), "f", F.col("t").alias("tb"))
+    # How many pairs ask for a set: a hub's segments go to several salts.
+    asks = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("sig"), F.lit(1).alias("as_a")), F.struct(F.col("b").alias("sig"), F.lit(0).alias("as_a")))).alias("x")).groupBy(F.col("x.sig").alias("sig"))
+    asks = asks.agg(F.sum("x.as_a").alias("m_a"), F.sum(1 - F.col("x.as_a")).alias("m_b"))
+    cut = saved(sets.join(asks, "sig").select("sig", "n", "m_a", "m_b", F.inline(segments)), "jaccard-segments")
+    side = lambda k: cut.filter(f"m_{k} > 0").select(F.struct(F.col("sig"), "f").alias(f"{k}_f"), F.col("n").alias(f"n{k}"), F.col("t").alias(f"t{k}"), f"m_{k}")
     asked = pairs.select("a", "b", F.explode(F.sequence(F.lit(0), F.lit(fragments - 1))).alias("f"))
-    partial = asked.join(b, ["b", "f"]).join(a, ["a", "f"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("o"))
+    asked = asked.select("a", "b", F.struct(F.col("a").alias("sig"), "f").alias("a_f"), F.struct(F.col("b").alias("sig"), "f").alias("b_f"), F.xxhash64("a", "b").alias("uid"))
+    total = pairs.count() * fragments
+    met = attach_groups(attach_groups(asked, side("b"), "b_f", "m_b", total, how="inner"), side("a"), "a_f", "m_a", total, how="inner")
+    partial = met.select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("o"))
     summed = partial.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.sum("o").alias("o"))
     found = saved(summed.filter(F.col("o") * (num + den) >= (F.col("na") + F.col("nb")) * num).select("a", "b"), "jaccard-links")
     forget(cut)
