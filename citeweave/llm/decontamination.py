@@ -33,13 +33,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeweave.llm import wordhash
-from citeweave.llm.common import bounded, documents, is_small, keep_rows, row_hash, saved, with_uid
+from citeweave.llm.common import bit_set, bounded, documents, is_small, keep_rows, row_hash, saved, with_asked, with_uid
 
 _U64 = np.uint64
 #: 1: a position that the mask looks at.  Together they meet every window of 13 words that has up to two substituted.
 MASKS = ("11101011", "1101100111", "110010110101", "1001111111")
 #: The filter takes so many bits a hash, and never more than so many in all (64 MB); a fuller filter only lets more through to the join.
 _BITS_EACH, _BITS_MOST = 512, 1 << 29
+#: Most words of all items, 8 bytes each, that are broadcast; more are shuffled.
+_WORDS_MOST = 4_000_000
 
 
 def allowed(n: int, window: int, same: float) -> int:
@@ -150,7 +152,8 @@ def best_window(doc: np.ndarray, item: np.ndarray, shift: int, window: int) -> t
     return int(sums.max()), int(sums.argmax())
 
 
-_FOUND = "uid long, doc_id long, item_id long, start long, n_words int, n_same int"
+#: Ids pass through pandas as text: a null beside them would turn them into floating-point numbers.
+_FOUND = "uid long, doc_id string, item_id string, start long, n_words int, n_same int"
 
 
 def _verify(window: int, same: float):
@@ -171,8 +174,7 @@ def _verify(window: int, same: float):
                             break
                     if best[0] >= same * size:
                         out.append((uid, doc_id, ask["item_id"], best[1], size, best[0]))
-            made = pd.DataFrame(out, columns=["uid", "doc_id", "item_id", "start", "n_words", "n_same"])
-            yield made.astype({"doc_id": "Int64", "item_id": "Int64"})
+            yield pd.DataFrame(out, columns=["uid", "doc_id", "item_id", "start", "n_words", "n_same"])
 
     return run
 
@@ -191,14 +193,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] =
     hits = base.mapInArrow(_hits([*masks, *("1" * n for n in runs)], known), "row long, h long, p long")
     # A small index meets the hits where they are made; beyond that hits are shuffled, and adaptive execution splits frequent hashes.
     shifts = hits.join(F.broadcast(index) if is_small(index) else index, "h").groupBy("row", "item").agg(F.collect_set(F.col("p") - F.col("q")).alias("shifts"))
-    asked = shifts.join(F.broadcast(items) if is_small(items, 10_000) else items, "item").groupBy("row").agg(F.collect_list(F.struct("item_id", "shifts", "words")).alias("asked"))
+    n_words = items.agg(F.coalesce(F.sum(F.size("words") + 1), F.lit(0))).first()[0]
+    known_items = items.withColumn("item_id", F.col("item_id").cast("string"))
+    asked = shifts.join(F.broadcast(known_items) if n_words <= _WORDS_MOST else known_items, "item").groupBy("row").agg(F.collect_list(F.struct("item_id", "shifts", "words")).alias("asked"))
     asked = saved(asked.withColumnRenamed("row", "asked_row"), "alignments")
     near = with_uid(docs.select("doc_id", "text"), uid)
     rows = asked.select("asked_row")
     if is_small(rows):
         near = near.join(F.broadcast(rows), row_hash() == F.col("asked_row"), "left_semi")
-    near = near.join(asked, row_hash() == F.col("asked_row")).select("uid", "doc_id", "text", "asked")
-    return near.mapInPandas(_verify(window, same), _FOUND)
+    else:  # by a set of bits of a bounded size: only texts that it passes are shuffled
+        near = with_asked(near, bit_set(rows, F.col("asked_row")), row_hash(), "is_asked").filter("is_asked").drop("is_asked")
+    near = near.join(asked, row_hash() == F.col("asked_row")).select("uid", F.col("doc_id").cast("string").alias("doc_id"), "text", "asked")
+    found = near.mapInPandas(_verify(window, same), _FOUND)
+    return found.withColumns({name: F.col(name).cast("long") for name in ("doc_id", "item_id")})
 
 
 def _filter_of(index: DataFrame, parts: int = 8) -> Filter:
